@@ -34,6 +34,9 @@ TOKEN_PATTERN = (
     r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 )
 
+# The tokens of the pattern above that are longer than one character.
+LONG_TOKEN_PATTERN = r"[A-Za-z_][\p{L}\p{N}_]++|\p{Nd}++|[=!<>]="
+
 # --- fixed values: schema --------------------------------------------------
 
 CORE_SCHEMA = (

@@ -87,7 +87,13 @@ def cve_number_anywhere(c) -> Column:
 
 
 def token_count(c) -> Column:
-    return F.coalesce(F.regexp_count(col(c), F.lit(C.TOKEN_PATTERN)), F.lit(0))
+    """Number of tokens, without building them.
+
+    Each token of several characters becomes one character, spaces go, and
+    what is left is one character for each token.
+    """
+    short = F.regexp_replace(col(c), C.LONG_TOKEN_PATTERN, "x")
+    return F.coalesce(F.length(F.translate(short, C.WHITESPACE, "")), F.lit(0))
 
 
 def line_count(c) -> Column:

@@ -34,7 +34,9 @@ def duplicate_counts(df: DataFrame, row_key: str = "row_id") -> DataFrame:
     has at most 10,000 four-digit years, so its years fit one map, and one
     join on the code attaches two of the counts; the yearly totals are
     broadcast under the same bound. Only codes seen more than once enter
-    the join. A row with NULL year has NULL year counts.
+    the join. A row with NULL year has NULL year counts. The text itself is
+    shuffled only when the caller keeps it; drop ``code`` first where the
+    counts are all that is wanted.
     """
     year = F.col("cve_year")
     pairs = df.filter(F.col("code_key").isNotNull()).groupBy(*DUPLICATE_KEYS, "cve_year").agg(
@@ -113,4 +115,4 @@ def extend_dimension(spark: SparkSession, path: str, df: DataFrame, pages: DataF
 def enrich(df: DataFrame, dimension: DataFrame, row_key: str = "row_id") -> DataFrame:
     """Descriptions, parsed ids, sizes and duplicate counts."""
     require_columns(df, ["code", "cve_id", "cwe_id"])
-    return duplicate_counts(code_features(describe(df, dimension, row_key)), row_key).drop("__key2")
+    return describe(duplicate_counts(code_features(df), row_key).drop("__key2"), dimension, row_key)

@@ -325,7 +325,7 @@ def _description_pages(spark, sf) -> DataFrame:
 # flat form: the block has no inner div; text nodes are stripped, joined by one space
 _BLOCK = rf"""blocks AS (SELECT page_id, list_aggregate(list_filter(list_transform(
     regexp_split_to_array(regexp_extract(html, '(?s)<article>(.*?)</article>', 1), '<[^>]*>'),
-    lambda x: {strip_sql("replace(x, '&amp;', '&')")}), lambda x: x <> ''), 'string_agg', ' ') AS block FROM pages),
+    lambda x: {strip_sql("regexp_replace(replace(x, '&quot;', chr(34)), '&amp;?', '&', 'g')")}), lambda x: x <> ''), 'string_agg', ' ') AS block FROM pages),
   described AS (SELECT page_id, block, CASE WHEN {strip_sql("split_part(block, '.', 1)")} <> ''
     THEN {strip_sql("split_part(block, '.', 1)")} || '.' END AS description FROM blocks)"""
 

@@ -12,7 +12,8 @@ from pyspark.sql import types as T
 from weakspot import constants as C
 from weakspot.functions.text import null_when
 
-CSV_FORMAT = {"header": True, "quote": '"', "escape": '"', "multiLine": True}
+CSV_FORMAT = {"header": True, "quote": '"', "escape": '"',
+              "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 
 
 def require_columns(df: DataFrame, columns: Iterable[str], on_missing: str = "raise") -> DataFrame | None:
@@ -57,7 +58,7 @@ def read_csv(
     A file with multi-line cells cannot be split, so parallelism is the
     number of files; ``write_csv`` bounds the rows in each.
     """
-    reader = spark.read.options(**CSV_FORMAT)
+    reader = spark.read.options(multiLine=True, **CSV_FORMAT)
     df = reader.csv(path, schema=schema) if schema else reader.option("inferSchema", True).csv(path)
     if not na_tokens:
         return df
@@ -69,8 +70,7 @@ def read_csv(
 
 
 def write_csv(df: DataFrame, path: str, rows_per_file: int = 200_000) -> None:
-    (df.write.mode("overwrite").options(header=True, quote='"', escape='"', quoteAll=False)
-       .option("maxRecordsPerFile", rows_per_file).csv(path))
+    df.write.mode("overwrite").options(maxRecordsPerFile=rows_per_file, **CSV_FORMAT).csv(path)
 
 
 def read_parquet(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
