@@ -245,3 +245,26 @@ def test_model_round_trip(spark, tmp_path):
     model.write().overwrite().save(str(tmp_path / "m"))
     back = GBTClassificationModel.load(str(tmp_path / "m"))
     assert compare.score(back, df).exceptAll(compare.score(model, df)).count() == 0
+
+
+def test_selected_features_keep_their_names(spark, tmp_path):
+    from weakspot.plans import training
+
+    _, _, df = learnable(spark)
+    train, test, chosen, _ = training.select_features(
+        df.select("row_id", "features", "label"), df.select("row_id", "features", "label"),
+        [f"emb_{i}" for i in range(6)], 5, 0.05, str(tmp_path))
+    assert chosen[0] == "emb_0" and len(chosen) < 6 and features.names_of(train) == chosen
+    back = spark.read.parquet(str(tmp_path / "selected"))
+    assert features.names_of(back) == chosen and back.count() == 600
+    assert spark.read.parquet(str(tmp_path / "votes")).count() == 6
+    assert training.fit_final(train, test, rounds=2)[1].filter("class = 'accuracy'").first().f1 > 0.8
+
+
+def test_group_aware_split(spark):
+    from weakspot.plans import training
+
+    _, _, df = learnable(spark)
+    parts = training.three_way(df.withColumn("g", F.col("row_id") % 20), by_group="g")
+    groups = {n: {r.g for r in p.select((F.col("row_id") % 20).alias("g")).collect()} for n, p in parts.items()}
+    assert sum(map(len, groups.values())) == 20 == len(set.union(*groups.values())) and len(groups["dev"]) == 3

@@ -55,8 +55,7 @@ def first_id(columns: list[str]) -> Column:
 
 def group_or_null(c, pattern: str, group: int) -> Column:
     """One regex group, NULL when the pattern is absent."""
-    found = F.regexp_extract(col(c), pattern, group)
-    return F.when(found != "", found)
+    return F.nullif(F.regexp_extract(col(c), pattern, group), F.lit(""))
 
 
 def extract_cwe(c) -> Column:

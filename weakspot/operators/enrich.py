@@ -15,16 +15,17 @@ DUPLICATE_KEYS = ["code_key", "__key2"]
 
 def code_features(df: DataFrame) -> DataFrame:
     """Parsed CVE parts, code length, lines and content key; no shuffle."""
-    code = X.strip("code")
-    key, second = X.content_key(code)
-    return df.withColumns({
-        "code_key": F.when(F.col("code").isNotNull(), key),
-        "__key2": F.when(F.col("code").isNotNull(), second),
-        "code_len": F.length(code),
-        "code_lines": X.line_count(code),
+    stripped = df.withColumn("__code", X.strip("code"))  # once, not once for each feature
+    key, second = X.content_key("__code")
+    present = F.col("__code").isNotNull()
+    return stripped.withColumns({
+        "code_key": F.when(present, key),
+        "__key2": F.when(present, second),
+        "code_len": F.length("__code"),
+        "code_lines": X.line_count("__code"),
         "cve_year": X.cve_year("cve_id"),
         "cve_number": X.cve_number("cve_id"),
-    })
+    }).drop("__code")
 
 
 def duplicate_counts(df: DataFrame, row_key: str = "row_id") -> DataFrame:

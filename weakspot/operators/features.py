@@ -8,7 +8,7 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.feature import (
     ElementwiseProduct, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler, VectorSlicer,
 )
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -99,6 +99,19 @@ def feature_names(dim: int, meta: list[str]) -> list[str]:
     return [f"emb_{i}" for i in range(dim)] + list(meta)
 
 
+def with_names(df: DataFrame, names: list[str], column: str = "features") -> DataFrame:
+    """The vector column with its feature names as metadata, which ML stages
+    and Parquet carry along."""
+    attributes = {"ml_attr": {"num_attrs": len(names), "attrs": {
+        "numeric": [{"idx": i, "name": n} for i, n in enumerate(names)]}}}
+    return df.withColumn(column, F.col(column).alias(column, metadata=attributes))
+
+
+def names_of(df: DataFrame, column: str = "features") -> list[str]:
+    attributes = df.schema[column].metadata["ml_attr"]["attrs"]
+    return [a["name"] for a in sorted(sum(attributes.values(), []), key=lambda a: a["idx"])]
+
+
 def name_table(df: DataFrame, names: list[str]) -> DataFrame:
     """(pos, name) rows of a feature vector."""
     return df.sparkSession.range(1).select(
@@ -146,8 +159,7 @@ def keep_features(df: DataFrame, positions: list[int], column: str = "features",
 
 def write_features(df: DataFrame, path: str, vector: str = "features") -> None:
     """Feature table partitioned by split, floats instead of doubles."""
-    from pyspark.ml.functions import vector_to_array
-
     values = vector_to_array(vector, "float32") if not isinstance(df.schema[vector].dataType, T.ArrayType) \
         else F.col(vector).cast("array<float>")
-    df.withColumn(vector, values).write.mode("overwrite").partitionBy("split").parquet(path)
+    kept = df.schema[vector].metadata
+    df.withColumn(vector, values.alias(vector, metadata=kept)).write.mode("overwrite").partitionBy("split").parquet(path)

@@ -70,6 +70,14 @@ def column_profile(df: DataFrame, approximate: bool = False) -> DataFrame:
     )
 
 
+def table_shape(df: DataFrame) -> DataFrame:
+    return df.agg(F.count(F.lit(1)).alias("rows")).withColumn("columns", F.lit(len(df.columns)))
+
+
+def first_rows(df: DataFrame, key: str, n: int = 5) -> DataFrame:
+    return df.orderBy(key).limit(n)
+
+
 def with_nulls_only(profile: DataFrame) -> DataFrame:
     return profile.filter(F.col("null_count") > 0)
 

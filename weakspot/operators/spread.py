@@ -46,7 +46,7 @@ def join_group_values(
     values: list[str],
     size: str,
     row_key: str,
-    max_hot: int = 1_000,
+    max_hot: int = 256,
     hot_rows: int = 1_000_000,
 ) -> DataFrame:
     """Left join rows to per-group values whatever the group sizes.

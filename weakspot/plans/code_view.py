@@ -38,10 +38,12 @@ COLUMNS = {
 }
 
 
-def code_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    joined = table(spark, sf_dir, "documents").join(
-        table(spark, sf_dir, "labels").select("doc_id", "toxic"), "doc_id", "left")
-    return joined.select(*[F.expr(e).alias(n) for n, e in COLUMNS.items()])
+def code_view(spark: SparkSession, sf_dir: str, label: bool = True) -> DataFrame:
+    """The view; without ``label`` the documents are read and not joined."""
+    rows = table(spark, sf_dir, "documents")
+    if label:
+        rows = rows.join(table(spark, sf_dir, "labels").select("doc_id", "toxic"), "doc_id", "left")
+    return rows.select(*[F.expr(e).alias(n) for n, e in COLUMNS.items() if label or n != "label"])
 
 
 def with_ids(df: DataFrame) -> DataFrame:

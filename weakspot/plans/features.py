@@ -39,12 +39,12 @@ _SLIM = f"""slim AS (SELECT *, CASE WHEN count(*) OVER (PARTITION BY cwe_id) >=
 
 @query(VIEW_IDS + f"SELECT cwe_id, count(*) AS count FROM ids WHERE cwe_id IS NOT NULL GROUP BY cwe_id HAVING count(*) >= {MIN_COUNT}")
 def frequent_categories(spark, sf):
-    return features.frequent_values(with_ids(code_view(spark, sf)), "cwe_id", MIN_COUNT)
+    return features.frequent_values(with_ids(code_view(spark, sf, label=False)), "cwe_id", MIN_COUNT)
 
 
 @query(with_sql(VIEW_SQL, IDS_SQL, _SLIM.format("ids")) + "SELECT row_id, cwe_id, cwe_id_slim FROM slim")
 def rare_category(spark, sf):
-    return features.collapse_rare(with_ids(code_view(spark, sf)).select("row_id", "cwe_id"), "cwe_id", MIN_COUNT)
+    return features.collapse_rare(with_ids(code_view(spark, sf, label=False)).select("row_id", "cwe_id"), "cwe_id", MIN_COUNT)
 
 
 _LANGS = ["de", "en", "es", "fr"]
@@ -52,7 +52,7 @@ _LANGS = ["de", "en", "es", "fr"]
 
 @query(VIEW + "SELECT row_id, " + ", ".join(f"cast(language = '{v}' AS INTEGER) AS language_{v}" for v in _LANGS) + " FROM v")
 def one_hot(spark, sf):
-    return features.one_hot(code_view(spark, sf), ["language"], ["row_id"])[0]
+    return features.one_hot(code_view(spark, sf, label=False), ["language"], ["row_id"])[0]
 
 
 @query(with_sql(VIEW_SQL, """cats AS (SELECT DISTINCT 'language_' || language AS name, 0 AS block, language AS value FROM v
@@ -62,13 +62,13 @@ def one_hot(spark, sf):
   ON (block = 0 AND value = language) OR (block = 1 AND value = dataset)""")
 def one_hot_vector(spark, sf):
     """Positions of the set flags of the vector form."""
-    encoded, _ = features.one_hot_vector(code_view(spark, sf).select("row_id", "language", "dataset"), ["language", "dataset"])
+    encoded, _ = features.one_hot_vector(code_view(spark, sf, label=False).select("row_id", "language", "dataset"), ["language", "dataset"])
     return (encoded.select("row_id", F.posexplode(vector_to_array("one_hot")).alias("pos", "flag"))
             .filter("flag = 1").select("row_id", "pos"))
 
 
 def _enriched(spark, sf) -> DataFrame:
-    return enrich.duplicate_counts(enrich.code_features(with_ids(code_view(spark, sf)))).drop("cve_number")
+    return enrich.duplicate_counts(enrich.code_features(with_ids(code_view(spark, sf, label=False)))).drop("cve_number")
 
 
 _META = _SLIM.format("enriched") + rf""",
@@ -106,7 +106,7 @@ def sample_n(spark, sf):
     ceil(0.2 * count(*) OVER ()) AS n_test FROM (SELECT DISTINCT cve_id FROM filled))""")
        + "SELECT row_id, cve_id, CASE WHEN place <= n_test THEN 'test' ELSE 'train' END AS split FROM filled JOIN placed USING (cve_id)")
 def group_split(spark, sf):
-    rows = with_ids(code_view(spark, sf)).select("row_id", F.coalesce("cve_id", F.lit("CVE-UNKNOWN")).alias("cve_id"))
+    rows = with_ids(code_view(spark, sf, label=False)).select("row_id", F.coalesce("cve_id", F.lit("CVE-UNKNOWN")).alias("cve_id"))
     return sampling.group_split(rows)
 
 

@@ -52,14 +52,14 @@ def drop_sparse(spark, sf):
   try_cast(nullif(regexp_extract(cve_id, '(?i)CVE-(\d{{4}})-(\d+)', 2), '') AS DOUBLE) AS cve_number_loose,
   lower({strip_sql('language')}) AS language FROM enriched""")
 def cve_features(spark, sf):
-    return enrich.code_features(with_ids(code_view(spark, sf))).select(
+    return enrich.code_features(with_ids(code_view(spark, sf, label=False))).select(
         "row_id", "code_len", "code_lines", "cve_year", "cve_number",
         X.cve_number_anywhere("cve_id").alias("cve_number_loose"), X.strip_lower("language").alias("language"))
 
 
 @query(VIEW_IDS + "SELECT row_id, cve_raw, cwe_raw, cve_id, cwe_id FROM ids")
 def unify_ids_single(spark, sf):
-    return collections.unify_ids(code_view(spark, sf).select("row_id", "cve_raw", "cwe_raw"))
+    return collections.unify_ids(code_view(spark, sf, label=False).select("row_id", "cve_raw", "cwe_raw"))
 
 
 _CWE_FIRST = f"coalesce({clean_id_sql('cwe_alt', False)}, {clean_id_sql('cwe_raw', False)})"
@@ -71,13 +71,13 @@ SELECT row_id, coalesce({clean_id_sql('cve_alt', False)}, {clean_id_sql('cve_raw
   coalesce({cwe_sql(_CWE_FIRST)}, {_CWE_FIRST}) AS cwe_id FROM w""")
 def unify_ids_multi(spark, sf):
     alt = F.when(F.col("row_id") % 17 == 0, "null").when(F.col("row_id") % 19 == 0, "NULL")
-    rows = code_view(spark, sf).select("row_id", "cve_alt", "cve_raw", alt.alias("cwe_alt"), "cwe_raw")
+    rows = code_view(spark, sf, label=False).select("row_id", "cve_alt", "cve_raw", alt.alias("cwe_alt"), "cwe_raw")
     return collections.unify_ids(rows).select("row_id", "cve_id", "cwe_id")
 
 
 @query(VIEW + f"SELECT row_id, {cwe_sql('cwe_raw')} AS cwe FROM v")
 def cwe_extract(spark, sf):
-    return code_view(spark, sf).select("row_id", X.extract_cwe("cwe_raw").alias("cwe"))
+    return code_view(spark, sf, label=False).select("row_id", X.extract_cwe("cwe_raw").alias("cwe"))
 
 
 # --- sources ----------------------------------------------------------------
@@ -214,7 +214,7 @@ def roundtrip_parquet(spark, sf):
 
 @query(VIEW + "SELECT row_id, language, num_raw, n_chars FROM v")
 def csv_to_parquet(spark, sf):
-    rows = code_view(spark, sf).select("row_id", "language", F.col("num_raw"), "n_chars", "code")
+    rows = code_view(spark, sf, label=False).select("row_id", "language", F.col("num_raw"), "n_chars", "code")
     csv, parquet = scratch_path(spark, "csv"), scratch_path(spark, "parquet")
     tables.write_csv(rows.withColumn("num_raw", F.regexp_replace("num_raw", "n/a", "not a number")), csv)
     back = tables.csv_to_parquet(spark, csv, parquet, rows.schema)
@@ -225,7 +225,7 @@ def csv_to_parquet(spark, sf):
 
 @query("SELECT lang AS language, count(*) AS count FROM documents WHERE lang IS NOT NULL GROUP BY lang")
 def value_counts_lang(spark, sf):
-    return profile.value_counts(code_view(spark, sf), "language")
+    return profile.value_counts(code_view(spark, sf, label=False), "language")
 
 
 @query(VIEW + "SELECT label, count(*) AS count FROM v GROUP BY label")
@@ -235,12 +235,12 @@ def value_counts_nulls(spark, sf):
 
 @query(VIEW_IDS + "SELECT cwe_id, count(*) AS count FROM ids GROUP BY cwe_id ORDER BY count DESC, cwe_id NULLS FIRST LIMIT 10")
 def top_values(spark, sf):
-    return profile.top_values(with_ids(code_view(spark, sf)), "cwe_id", 10)
+    return profile.top_values(with_ids(code_view(spark, sf, label=False)), "cwe_id", 10)
 
 
 @query(VIEW_IDS + "SELECT DISTINCT cwe_id FROM ids WHERE cwe_id IS NOT NULL")
 def distinct_cwes(spark, sf):
-    return profile.distinct_sorted(with_ids(code_view(spark, sf)), "cwe_id")
+    return profile.distinct_sorted(with_ids(code_view(spark, sf, label=False)), "cwe_id")
 
 
 _PROFILED = {"code": "string", "label": "int", "language": "string", "dataset": "string", "cve_raw": "string",
@@ -271,6 +271,16 @@ def null_report(spark, sf):
     return profile.with_nulls_only(profile.column_profile(code_view(spark, sf).select(*_PROFILED)))
 
 
+@query(VIEW + "SELECT count(*) AS rows, 13 AS columns FROM v")
+def table_shape(spark, sf):
+    return profile.table_shape(code_view(spark, sf, label=False))
+
+
+@query(VIEW + "SELECT row_id, language, cve_raw FROM v ORDER BY row_id LIMIT 5")
+def first_rows(spark, sf):
+    return profile.first_rows(code_view(spark, sf, label=False).select("row_id", "language", "cve_raw"), "row_id")
+
+
 _CLEANED = f"CASE WHEN {strip_sql('cve_raw')} NOT IN ('None', 'nan', '') THEN {strip_sql('cve_raw')} END"
 
 
@@ -278,14 +288,14 @@ _CLEANED = f"CASE WHEN {strip_sql('cve_raw')} NOT IN ('None', 'nan', '') THEN {s
   count(*) - count({_CLEANED}) AS null_count,
   cast(round_even(100.0::DOUBLE * (count(*) - count({_CLEANED})) / count(*), 2) AS VARCHAR) || '%' AS null_percentage FROM v""")
 def text_profile(spark, sf):
-    return profile.text_profile(code_view(spark, sf), "cve_raw")
+    return profile.text_profile(code_view(spark, sf, label=False), "cve_raw")
 
 
 # --- enrichment -------------------------------------------------------------
 
 @query(VIEW_ENRICHED + "SELECT row_id, year_count, code_dup_count, code_year_dup_count FROM enriched")
 def dup_counts(spark, sf):
-    rows = with_ids(code_view(spark, sf)).select("row_id", "code", "cve_id")
+    rows = with_ids(code_view(spark, sf, label=False)).select("row_id", "code", "cve_id")
     return enrich.duplicate_counts(enrich.code_features(rows)).select(
         "row_id", "year_count", "code_dup_count", "code_year_dup_count")
 
@@ -293,7 +303,7 @@ def dup_counts(spark, sf):
 def dimension(spark, sf) -> DataFrame:
     """Descriptions of the ids below 25 that the table holds."""
     number = X.cwe_number("cwe_id").try_cast("int")
-    return (with_ids(code_view(spark, sf)).select("cwe_id", number.alias("n")).filter("n < 25").distinct()
+    return (with_ids(code_view(spark, sf, label=False)).select("cwe_id", number.alias("n")).filter("n < 25").distinct()
             .select("cwe_id", F.concat(F.lit("Weakness "), F.col("n").cast("string"), F.lit(".")).alias("description")))
 
 
@@ -305,7 +315,7 @@ _DIMENSION = r"""dim0 AS (SELECT DISTINCT cwe_id, 'Weakness ' || try_cast(regexp
 @query(with_sql(VIEW_SQL, IDS_SQL, _DIMENSION) + """SELECT row_id, cwe_id, description AS cwe_description,
   left(coalesce(description, '[ERROR/NONE] - Description not found.'), 120) AS shown FROM ids LEFT JOIN dim USING (cwe_id)""")
 def cwe_lookup(spark, sf):
-    rows = with_ids(code_view(spark, sf)).select("row_id", "cwe_id")
+    rows = with_ids(code_view(spark, sf, label=False)).select("row_id", "cwe_id")
     return enrich.describe(rows, dimension(spark, sf)).select(
         "row_id", "cwe_id", "cwe_description", X.display_description("cwe_description").alias("shown"))
 
@@ -313,7 +323,7 @@ def cwe_lookup(spark, sf):
 @query(with_sql(VIEW_SQL, IDS_SQL, _DIMENSION) + """SELECT DISTINCT cwe_id FROM ids
   WHERE cwe_id IS NOT NULL AND cwe_id NOT IN (SELECT cwe_id FROM dim)""")
 def cwe_missing(spark, sf):
-    return enrich.missing_ids(with_ids(code_view(spark, sf)), dimension(spark, sf))
+    return enrich.missing_ids(with_ids(code_view(spark, sf, label=False)), dimension(spark, sf))
 
 
 def _description_pages(spark, sf) -> DataFrame:
@@ -344,7 +354,7 @@ def dimension_update(spark, sf):
     tables.write_parquet(dimension(spark, sf), path)
     pages = _description_pages(spark, sf).select(
         F.concat(F.lit("CWE-"), F.col("page_id").cast("string")).alias("cwe_id"), "html")
-    return enrich.extend_dimension(spark, path, with_ids(code_view(spark, sf)), pages)
+    return enrich.extend_dimension(spark, path, with_ids(code_view(spark, sf, label=False)), pages)
 
 
 # --- imputation and the whole flow ------------------------------------------
@@ -377,7 +387,7 @@ def prepared_table(spark, sf):
   cast(sum(code_year_dup_count) AS BIGINT) AS same_year FROM enriched GROUP BY language""")
 def language_summary(spark, sf):
     """Sizes, ids and duplicates of the code table by language."""
-    rows = with_ids(code_view(spark, sf)).select("row_id", "code", "language", "cve_id")
+    rows = with_ids(code_view(spark, sf, label=False)).select("row_id", "code", "language", "cve_id")
     return enrich.duplicate_counts(enrich.code_features(rows).drop("code")).groupBy("language").agg(
         F.count(F.lit(1)).alias("n_rows"), F.sum("code_len").alias("chars"), F.sum("code_lines").alias("lines"),
         F.count("cve_year").alias("with_cve"), F.count_if(F.col("code_dup_count") > 1).alias("duplicated"),

@@ -8,6 +8,27 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+# Settings for a large cluster; start partition counts high and let adaptive
+# execution merge them, rather than tune a count for each job.
+CLUSTER_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+    "spark.sql.session.timeZone": "UTC",
+}
+
+
+def build(app: str = "weakspot", **conf: str) -> SparkSession:
+    """A session with the settings above; ``conf`` overrides them."""
+    builder = SparkSession.builder.appName(app)
+    for key, value in {**CLUSTER_CONF, **conf}.items():
+        builder = builder.config(key, value)
+    return builder.getOrCreate()
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as the cluster names it.
 
