@@ -6,6 +6,7 @@ import math
 from dataclasses import dataclass
 
 import numpy as np
+from pyspark import StorageLevel
 from pyspark.ml.classification import DecisionTreeClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
@@ -55,7 +56,8 @@ class AdaBoostStumps:
         """Row weights are one expression over the stumps so far, so the
         plan of a round does not stack on the rounds before it."""
         x = vector_to_array(self.features)
-        rows = df.select(self.features, F.col(self.label).cast("int").alias("label"))
+        rows = df.select(self.features, F.col(self.label).cast("int").alias("label")).persist(
+            StorageLevel.MEMORY_AND_DISK)
         stumps: list[Stump] = []
         size = 0
         for _ in range(self.rounds):
@@ -77,4 +79,5 @@ class AdaBoostStumps:
             stumps.append(Stump(root.split().featureIndex(), root.split().threshold(), below, above, weight))
             if error <= 0:
                 break
+        rows.unpersist()
         return AdaBoostModel(stumps, size, self.features)

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from functools import reduce
+from multiprocessing.pool import ThreadPool
 
-from pyspark import StorageLevel
+from pyspark import inheritable_thread_target
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,6 +24,13 @@ def score(model, df: DataFrame, output: str = "prediction") -> DataFrame:
     return scored.select(*df.columns, F.col("prediction").cast("int").alias(output))
 
 
+def side_by_side(spark, run: Callable, tasks: list, parallelism: int) -> list:
+    """Results of independent fits, each one a series of distributed jobs;
+    together they fill the cluster where one alone would leave gaps."""
+    with ThreadPool(parallelism) as pool:
+        return pool.map(inheritable_thread_target(spark)(run), tasks)
+
+
 def strategies(k: int = C.SMOTE_NEIGHBOURS, seed: int = C.SAMPLE_SEED) -> dict[str, Callable[[DataFrame], DataFrame] | None]:
     """Balancing of a table (row_id, embedding, label); None is by weight."""
     return {
@@ -39,24 +47,27 @@ def _with_vector(df: DataFrame) -> DataFrame:
 
 
 def compare_balancing(train: DataFrame, test: DataFrame, rounds: int = 100, depth: int = 6, rate: float = 0.3,
-                      chosen: dict | None = None) -> tuple[DataFrame, dict]:
+                      chosen: dict | None = None, parallelism: int = 3) -> tuple[DataFrame, dict]:
     """Metrics on the test rows for each strategy, best F1 first, and the
     fitted models. Inputs are (row_id, embedding, label)."""
     ensure_checkpoints(train.sparkSession)
-    held_out = _with_vector(test).select("features", "label").persist(StorageLevel.MEMORY_AND_DISK)
-    models, rows = {}, []
-    for name, sampler in (chosen or strategies()).items():
+    held_out = _with_vector(test).select("features", "label")
+
+    def fit(sampler: Callable[[DataFrame], DataFrame] | None):
         if sampler is None:
             sizes = B.class_sizes(train)
             ready = _with_vector(train).withColumn("weight", B.class_weight("label", sizes[0] / sizes[1]))
-            model = boosted(rounds, depth, rate, weight="weight").fit(ready)
-        else:
-            # the sample feeds many jobs of the fit
-            ready = written_once(sampler(train).select("embedding", "label"), "balanced")
-            model = boosted(rounds, depth, rate).fit(_with_vector(ready))
-        models[name] = model
-        rows.append(M.binary_metrics(score(model, held_out)).select(
-            F.lit(name).alias("method"), "accuracy", "precision", "recall", "f1"))
+            return boosted(rounds, depth, rate, weight="weight").fit(ready)
+        # the sample feeds many jobs of the fit
+        ready = written_once(sampler(train).select("embedding", "label"), "balanced")
+        return boosted(rounds, depth, rate).fit(_with_vector(ready))
+
+    named = chosen or strategies()
+    models = dict(zip(named, side_by_side(train.sparkSession, fit, list(named.values()), parallelism)))
+    rows = [
+        M.binary_metrics(score(model, held_out)).select(F.lit(name).alias("method"), "accuracy", "precision", "recall", "f1")
+        for name, model in models.items()
+    ]
     return M.ranked(reduce(DataFrame.unionByName, rows), "method"), models
 
 
@@ -66,10 +77,12 @@ def pick_model(results: DataFrame, models: dict, name: str = "method", force: st
     return best, models[best]
 
 
-def compare_families(train: DataFrame, dev: DataFrame, specs: list[EstimatorSpec], label: str = "label") -> tuple[DataFrame, dict]:
+def compare_families(train: DataFrame, dev: DataFrame, specs: list[EstimatorSpec], label: str = "label",
+                     parallelism: int = 4) -> tuple[DataFrame, dict]:
     """F1, precision and recall on dev for each family, best F1 first."""
     ensure_checkpoints(train.sparkSession)
-    models = {spec.name: spec.make().fit(train) for spec in specs}
+    fitted = side_by_side(train.sparkSession, lambda spec: spec.make().fit(train), specs, parallelism)
+    models = dict(zip([spec.name for spec in specs], fitted))
     rows = [
         M.binary_metrics(score(model, dev), label=label).select(F.lit(name).alias("model"), "f1", "precision", "recall")
         for name, model in models.items()

@@ -16,6 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -75,7 +76,7 @@ class SparseSvm:
         context = df.sparkSession.sparkContext
         # one partial curvature matrix for each task, so keep tasks few
         rows = df.select(vector_to_array(self.features).alias("x"), F.col(self.label).alias("y")).coalesce(
-            max(1, 2 * context.defaultParallelism))
+            max(1, 2 * context.defaultParallelism)).persist(StorageLevel.MEMORY_AND_DISK)
         size = len(rows.first()["x"]) + 1
         w = np.zeros(size)
 
@@ -119,4 +120,5 @@ class SparseSvm:
             if goal[1 + best] >= goal[0]:
                 break
             w = w + STEPS[best] * step
+        rows.unpersist()
         return SparseSvmModel(w[:-1], float(w[-1]))

@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.feature import HashingTF
+from pyspark.ml.feature import HashingTF, Normalizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
@@ -56,9 +56,9 @@ def hashed_embedding(df: DataFrame, text: str = "code", dim: int = C.EMBEDDING_D
     used = tokens if max_tokens is None else F.slice(tokens, 1, max_tokens)
     counted = HashingTF(inputCol="__tokens", outputCol="__tf", numFeatures=dim).transform(
         df.withColumn("__tokens", used))
-    n = F.greatest(F.size("__tokens"), F.lit(1)).cast("double")
-    return counted.withColumn(
-        output, F.transform(vector_to_array("__tf"), lambda x: (x / n).cast("float"))).drop("__tokens", "__tf")
+    # counts add up to the number of tokens, so the 1-norm is the mean's divisor
+    shares = Normalizer(p=1.0, inputCol="__tf", outputCol="__mean").transform(counted)
+    return shares.withColumn(output, vector_to_array("__mean", "float32")).drop("__tokens", "__tf", "__mean")
 
 
 def encode_batches(

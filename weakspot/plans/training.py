@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -63,7 +62,9 @@ def three_way(rows: DataFrame, by_group: str | None = None) -> dict[str, DataFra
 
 
 def balanced(train: DataFrame) -> DataFrame:
-    return balance.oversample(train).select("features", "label").persist(StorageLevel.MEMORY_AND_DISK)
+    """The oversampled train part, written: a written table is read in
+    partitions fit for its size, which a cached shuffle is not."""
+    return written_once(balance.oversample(train).select("features", "label"), "balanced")
 
 
 def best_family(
@@ -76,7 +77,6 @@ def best_family(
     count = train.count()
     comparison, _ = compare.compare_families(train, parts["dev"], estimators.families(count, shrink=shrink))
     best = metrics.winner(comparison).first()["model"]
-    train.unpersist()
     kind = search.space_of(best)
     tried, model, setting = search.random_search(parts["train"], search.maker(kind, count), spaces[kind], draws)
     report = metrics.class_report(compare.score(model, parts["test"]))
@@ -102,7 +102,6 @@ def ensemble(rows: DataFrame, spaces: dict = search.DEEP_SPACES, draws: int = 5,
         _, tuned[kind], _ = search.random_search(parts["train"], search.maker(kind, 0), spaces[kind], draws, seed=222)
         both = compare.score(tuned[kind], compare.score(base, parts["dev"], "base"), "tuned")
         changes.append(metrics.improvement(both, "base", "tuned").select(F.lit(kind).alias("family"), "*"))
-    train.unpersist()
     w_a, w_b = compare.find_weights(tuned["boosted"], tuned["forest"], parts["dev"])
     voted = compare.soft_vote(tuned["boosted"], tuned["forest"], parts["test"], w_a, w_b)
     return {"changes": changes[0].unionByName(changes[1]), "report": metrics.class_report(voted)}
