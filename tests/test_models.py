@@ -268,3 +268,21 @@ def test_group_aware_split(spark):
     parts = training.three_way(df.withColumn("g", F.col("row_id") % 20), by_group="g")
     groups = {n: {r.g for r in p.select((F.col("row_id") % 20).alias("g")).collect()} for n, p in parts.items()}
     assert sum(map(len, groups.values())) == 20 == len(set.union(*groups.values())) and len(groups["dev"]) == 3
+
+
+def test_finite_arrays(spark):
+    from weakspot.functions import numeric as N
+
+    inf, nan = float("inf"), float("nan")
+    rows = spark.createDataFrame([(1, [1.0, 2.0]), (2, [nan, 1.0]), (3, [None, 1.0]), (4, [inf, -inf]), (5, [])], "i int, v array<float>")
+    got = {r.i: r.v for r in rows.select("i", N.finite_array("v").alias("v")).collect()}
+    assert got == {1: [1.0, 2.0], 2: [0.0, 1.0], 3: [0.0, 1.0], 4: [N.DOUBLE_MAX, -N.DOUBLE_MAX], 5: []}
+
+
+def test_scratch_is_cleared(spark):
+    from weakspot import session
+
+    path = session.scratch_path(spark, "x")
+    assert session.written_once(spark.range(3), "x").count() == 3
+    session.clear_scratch(spark)
+    assert not __import__("os").path.exists(path.rsplit("/", 1)[0])

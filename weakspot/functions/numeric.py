@@ -27,6 +27,20 @@ def finite(c) -> Column:
     return F.greatest(F.least(c, F.lit(DOUBLE_MAX)), F.lit(-DOUBLE_MAX))
 
 
+def finite_array(c) -> Column:
+    """The same for every element of a numeric array.
+
+    Built-in array functions find the rare rows that need it; only those
+    pay for a lambda over their elements.
+    """
+    c = col(c).cast("array<double>")
+    inf = F.lit(float("inf"))
+    # NULL elements make array_contains NULL when it finds nothing
+    gaps = F.coalesce(F.array_contains(c, F.lit(float("nan"))), F.lit(True))
+    dirty = gaps | (F.array_max(c) == inf) | (F.array_min(c) == -inf)
+    return F.when(dirty, F.transform(c, finite)).otherwise(c)
+
+
 def is_missing(name: str, dtype: str) -> Column:
     """NULL, or NaN in a floating column."""
     c = F.col(f"`{name}`")

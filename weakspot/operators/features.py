@@ -130,7 +130,7 @@ def assemble(
     meta_names = [n for n in names if n in meta.columns]
     others = [c for c in meta.columns if c not in meta_names and c != row_key]
     numbers = F.array(*[N.finite(F.col(f"`{n}`")) for n in meta_names])
-    left = embeddings.select(row_key, F.transform(vector, lambda x: N.finite(x)).alias("__emb"))
+    left = embeddings.select(row_key, N.finite_array(vector).alias("__emb"))
     right = meta.select(row_key, *others, numbers.alias("__meta"))
     joined = left.join(right, row_key)
     return joined.select(row_key, *others, array_to_vector(F.concat("__emb", "__meta")).alias(output))

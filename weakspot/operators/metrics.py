@@ -8,6 +8,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from weakspot.functions import numeric as N
+from weakspot.session import written_once
 
 WEIGHTS = (1, 2, 3, 4)  # fixed values: ensemble weight grid
 
@@ -99,7 +100,8 @@ def pr_curve(scored: DataFrame, label: str = "label", score: str = "score") -> D
     """Precision and recall at each distinct score, highest score first."""
     points = scored.groupBy(F.col(score).cast("double").alias("threshold")).agg(
         F.count_if(F.col(label) == 1).alias("pos"), F.count(F.lit(1)).alias("n"))
-    # one aggregate of the points; scores repeat, so it is the smaller pass
+    # four passes follow; a point is narrower and rarer than a row
+    points = written_once(points, "curve")
     positives = points.agg(F.sum("pos").alias("p")).scalar()
     return running_counts(points, "threshold", ["pos", "n"]).select(
         "threshold",

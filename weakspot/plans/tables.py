@@ -48,8 +48,8 @@ def drop_sparse(spark, sf):
 
 # --- identifiers ------------------------------------------------------------
 
-@query(VIEW_ENRICHED + rf"""SELECT row_id, code_len, code_lines, cve_year, cve_number,
-  try_cast(nullif(regexp_extract(cve_id, '(?i)CVE-(\d{{4}})-(\d+)', 2), '') AS DOUBLE) AS cve_number_loose,
+@query(VIEW_ENRICHED + rf"""SELECT row_id, cast(code_len AS INTEGER) AS code_len,
+  cast(code_lines AS INTEGER) AS code_lines, cve_year, cve_number, try_cast(nullif(regexp_extract(cve_id, '(?i)CVE-(\d{{4}})-(\d+)', 2), '') AS DOUBLE) AS cve_number_loose,
   lower({strip_sql('language')}) AS language FROM enriched""")
 def cve_features(spark, sf):
     return enrich.code_features(with_ids(code_view(spark, sf, label=False))).select(

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterable
 
-from pyspark.errors import AnalysisException
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -41,7 +42,8 @@ def read_optional(
     """A source that may be absent or of another shape; then None."""
     try:
         df = read_split(spark, path, split) if split else spark.read.parquet(path)
-    except AnalysisException:
+    except PySparkException as reason:
+        warnings.warn(f"going on without {path}: {reason}")
         return None
     return require_columns(df, required, on_missing="none")
 
