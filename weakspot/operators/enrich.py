@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -88,11 +89,13 @@ def describe(df: DataFrame, dimension: DataFrame, row_key: str = "row_id") -> Da
 
 
 def load_dimension(spark: SparkSession, path: str) -> DataFrame:
-    """The id dimension; absent means empty."""
-    from weakspot.sources.tables import read_optional
-
-    found = read_optional(spark, path, ["cwe_id", "description"])
-    return spark.createDataFrame([], "cwe_id string, description string") if found is None else found
+    """The id dimension; absent means empty, unreadable is an error."""
+    try:
+        return spark.read.parquet(path).select("cwe_id", "description")
+    except AnalysisException as reason:
+        if reason.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], "cwe_id string, description string")
 
 
 def extend_dimension(spark: SparkSession, path: str, df: DataFrame, pages: DataFrame, refresh: bool = False) -> DataFrame:

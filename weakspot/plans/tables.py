@@ -17,7 +17,7 @@ from weakspot.plans.code_view import (
     strip_sql, with_ids, with_sql,
 )
 from weakspot.plans.registry import query, table
-from weakspot.session import scratch_path
+from weakspot.session import qualified, scratch_path
 from weakspot.sources import collections, tables, tree
 
 
@@ -191,8 +191,7 @@ def export_files(df: DataFrame, root: str, name: str, text: str) -> int:
   CASE WHEN doc_id % 2 = 0 THEN 'c' ELSE 'java' END AS language, 'juliet' AS dataset,
   'CWE-' || cast(doc_id % 40 AS string) AS cwe_id FROM documents WHERE doc_id % 3 <> 2 AND {strip_sql('text')} <> ''""")
 def scan_tree(spark, sf):
-    root = scratch_path(spark, "tree")
-    root = root if "://" in root else f"file://{root}"
+    root = qualified(spark, scratch_path(spark, "tree"))
     export_files(table(spark, sf, "documents").select(F.expr(_FILE).alias("name"), "text"), root, "name", "text")
     return tree.scan_tree(spark, root).select(
         F.element_at(F.split("row_id", "/"), -1).alias("name"), "code", "label", "language", "dataset", "cwe_id")

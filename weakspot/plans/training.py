@@ -57,7 +57,7 @@ def three_way(rows: DataFrame, by_group: str | None = None) -> dict[str, DataFra
         split = train.unionByName(dev_test).drop("__outer")
     scaler = features.fit_scaler(split.filter("split = 'train'"))
     scaled = features.scale(split, scaler).drop("features").withColumnRenamed("scaled", "features")
-    ready = written_once(scaled.select("row_id", "label", "split", "features"), "split")
+    ready = written_once(scaled.select("row_id", "label", "split", "features"), "split", by="split")
     return {name: ready.filter(F.col("split") == name).drop("split") for name in ("train", "dev", "test")}
 
 

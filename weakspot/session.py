@@ -70,12 +70,19 @@ def ensure_checkpoints(spark: SparkSession) -> None:
         context.setCheckpointDir(shared_dir(spark))
 
 
-def written_once(df: DataFrame, name: str) -> DataFrame:
-    """Write a table to the shared folder and read it back.
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with the file system it is on."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(at).toString()
+
+
+def written_once(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
+    """Write a table to the shared folder and read it back; ``by`` is a
+    column of few values that later reads filter on.
 
     Used where a result feeds several later jobs: the files survive lost
     executors and the source is not computed again.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    (df.write.partitionBy(by) if by else df.write).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(df.columns)
