@@ -122,6 +122,10 @@ def test_whole_flow(spark):
     assert rows["megavul:1:1"].code_dup_count == 2.0 and rows["megavul:1:1"].cve_id == "CVE-2001-1"
     assert rows["bigvul:1"].cve_id == "CVE-UNKNOWN" and rows["bigvul:1"].year_count == -1.0
     assert all(v is not None for r in rows.values() for v in r)
+    lean = flow.prepare_features(table)
+    shared = [c for c in lean.columns if c != "code_token_count"]
+    assert {tuple(r) for r in lean.select(shared).collect()} == {tuple(r) for r in flow.prepare(table, dim).select(shared).collect()}
+    assert flow.split_features(lean, min_count=1)[1] == flow.split_features(flow.prepare(table, dim), min_count=1)[1]
     parts, names = flow.split_features(flow.prepare(table, dim), min_count=1)
     assert parts.count() == 3 and "language_c" in names and names[-1] == "code_year_dup_count"
 

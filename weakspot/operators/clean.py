@@ -56,12 +56,16 @@ def drop_sparse(
     return df.drop(*sparse)
 
 
-def impute(df: DataFrame) -> DataFrame:
-    """Twelve columns without gaps: fixed fills for ids, numbers and text."""
-    kept = [c for c in ("row_id",) if c in df.columns]
-    table = clean_code(require_columns(df, C.IMPUTE_COLUMNS).select(*kept, *C.IMPUTE_COLUMNS))
+def fill_missing(df: DataFrame) -> DataFrame:
+    """Fixed fills for ids, numbers and text."""
     fills = {
         **{c: F.coalesce(X.null_when(F.col(c).cast("string"), C.FILL_TOKENS), F.lit(v)) for c, v in C.ID_FILL.items()},
         **{c: N.number_or(c, C.NUMERIC_FILL) for c in C.NUMERIC_FILL_COLUMNS},
     }
-    return table.withColumns(fills).na.fill(C.TEXT_FILL)
+    return df.withColumns(fills).na.fill(C.TEXT_FILL)
+
+
+def impute(df: DataFrame) -> DataFrame:
+    """Twelve columns without gaps, in rows with code and label."""
+    kept = [c for c in ("row_id",) if c in df.columns]
+    return fill_missing(clean_code(require_columns(df, C.IMPUTE_COLUMNS).select(*kept, *C.IMPUTE_COLUMNS)))

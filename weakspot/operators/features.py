@@ -42,11 +42,10 @@ def collapse_rare(
 
 
 def numeric_features(df: DataFrame) -> DataFrame:
-    """The eight numeric features; token count and CVE number are derived."""
-    return df.withColumns({
-        "code_token_count": X.token_count("code"),
-        "cve_number": X.cve_number_anywhere("cve_id"),
-    })
+    """The eight numeric features; token count and CVE number are derived,
+    the former unless the table brings it because it left the text behind."""
+    counted = df if "code_token_count" in df.columns else df.withColumn("code_token_count", X.token_count("code"))
+    return counted.withColumn("cve_number", X.cve_number_anywhere("cve_id"))
 
 
 def categories(df: DataFrame, columns: list[str]) -> list[tuple[str, str]]:

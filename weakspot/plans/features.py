@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from weakspot import constants as C
 from weakspot.functions import text as X
 from weakspot.operators import balance, embed, enrich, features, metrics, neighbours, sampling
+from weakspot.plans import dataset as flow
 from weakspot.plans.code_view import (
     IDS_SQL, NUMBER_SQL, VIEW, VIEW_ENRICHED, VIEW_IDS, VIEW_SQL, ENRICHED_SQL, code_view, strip_sql, with_ids, with_sql,
 )
@@ -91,6 +92,17 @@ def meta_features(spark, sf):
     return wide.select("row_id", F.inline(cells)).filter("value <> 0")
 
 
+@query(VIEW_ENRICHED + f"""SELECT row_id, label, language, dataset, cast(code_len AS DOUBLE) AS code_len,
+  cast(code_lines AS DOUBLE) AS code_lines, coalesce(cast(cve_year AS DOUBLE), -1.0) AS cve_year,
+  coalesce(cast(year_count AS DOUBLE), -1.0) AS year_count, cast(code_dup_count AS DOUBLE) AS code_dup_count,
+  coalesce(cast(code_year_dup_count AS DOUBLE), -1.0) AS code_year_dup_count, coalesce(cve_id, 'CVE-UNKNOWN') AS cve_id,
+  coalesce(cwe_id, 'CWE-NONE') AS cwe_id, cast({tokens_sql('code')} AS INTEGER) AS code_token_count
+  FROM enriched WHERE label IS NOT NULL AND norm <> ''""")
+def prepared_features(spark, sf):
+    """The imputed table without its text; counts cover unlabelled rows."""
+    return flow.prepare_features(with_ids(code_view(spark, sf)))
+
+
 # --- samples and splits -----------------------------------------------------
 
 SAMPLE_N = 300
