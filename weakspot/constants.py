@@ -43,6 +43,15 @@ CORE_SCHEMA = (
     "row_id string, code string, label int, language string, dataset string, "
     "cve_id string, cwe_id string"
 )
+# Ids and languages the collections get when they bring none themselves.
+PAIRED_DATASET = "megavul"
+SINGLE_DATASET = "bigvul"
+TARGETED_DATASET = "diversevul"
+TREE_DATASET = "juliet"
+UNKNOWN_LANGUAGE = "unknown"
+TARGETED_LANGUAGE = "c/cpp"
+TREE_LANGUAGES = {".c": "c", ".java": "java"}
+
 CORE_COLUMNS = ["code", "label", "language", "dataset", "cve_id", "cwe_id"]
 IMPUTE_COLUMNS = [
     "code", "label", "language", "dataset", "code_len", "code_lines",

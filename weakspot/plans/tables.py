@@ -160,7 +160,7 @@ _NAME = """concat(url, '_', CASE page_id % 4 WHEN 0 THEN 'goodB2G' WHEN 1 THEN '
 def label_from_name(spark, sf):
     named = table(spark, sf, "pages").select("page_id", F.expr(_NAME).alias("name"))
     return named.select("page_id", X.label_from_name("name").alias("label"),
-                        X.language_from_name("name", tree.LANGUAGES).alias("language")).filter(F.col("label").isNotNull())
+                        X.language_from_name("name", C.TREE_LANGUAGES).alias("language")).filter(F.col("label").isNotNull())
 
 
 _FILE = """concat('CWE', cast(doc_id % 40 AS string), '_', CASE doc_id % 3 WHEN 0 THEN 'bad' WHEN 1 THEN 'Good' ELSE 'main' END,

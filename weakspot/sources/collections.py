@@ -54,14 +54,14 @@ def _finished(df: DataFrame, dataset: str) -> DataFrame:
     )
 
 
-def load_paired(df: DataFrame, dataset: str = "megavul", id_column: str | None = None) -> DataFrame:
+def load_paired(df: DataFrame, dataset: str = C.PAIRED_DATASET, id_column: str | None = None) -> DataFrame:
     """Collection with a vulnerable and a fixed version in each row."""
-    language = X.strip_lower("language") if "language" in df.columns else F.lit("unknown")
+    language = X.strip_lower("language") if "language" in df.columns else F.lit(C.UNKNOWN_LANGUAGE)
     named = with_row_id(df, dataset, id_column).withColumn("language", language)
     return _finished(expand_pairs(named), dataset)
 
 
-def load_single(df: DataFrame, dataset: str = "bigvul", id_column: str | None = None) -> DataFrame:
+def load_single(df: DataFrame, dataset: str = C.SINGLE_DATASET, id_column: str | None = None) -> DataFrame:
     """Collection with one labelled function in each row."""
     named = (with_row_id(df, dataset, id_column).drop("func_after")
              .withColumnsRenamed({"func_before": "code", "vul": "label", "lang": "language"})
@@ -70,7 +70,7 @@ def load_single(df: DataFrame, dataset: str = "bigvul", id_column: str | None =
 
 
 def load_targeted(
-    df: DataFrame | None, dataset: str = "diversevul", id_column: str | None = None, language: str = "c/cpp"
+    df: DataFrame | None, dataset: str = C.TARGETED_DATASET, id_column: str | None = None, language: str = C.TARGETED_LANGUAGE
 ) -> DataFrame | None:
     """Best-effort collection: None in, or another shape, gives None."""
     if df is None or require_columns(df, ["func", "target"], on_missing="none") is None:

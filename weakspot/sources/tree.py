@@ -6,14 +6,13 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from weakspot import constants as C
 from weakspot.functions import text as X
 from weakspot.sources.tables import empty_core
 
-LANGUAGES = {".c": "c", ".java": "java"}  # fixed values: extension to language
-
 
 def scan_tree(
-    spark: SparkSession, root: str, dataset: str = "juliet", languages: dict[str, str] = LANGUAGES
+    spark: SparkSession, root: str, dataset: str = C.TREE_DATASET, languages: dict[str, str] = C.TREE_LANGUAGES
 ) -> DataFrame:
     """Labelled files below ``root``; an absent root gives an empty table.
 
