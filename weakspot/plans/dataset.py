@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from weakspot import constants as C
 from weakspot.functions import text as X
 from weakspot.operators import clean, enrich, features, sampling
+from weakspot.session import written_once
 from weakspot.sources.collections import combine, load_paired, load_single, load_targeted
 
 
@@ -46,8 +47,11 @@ def prepare_features(table: DataFrame) -> DataFrame:
 def split_features(prepared: DataFrame, rows: int | None = None, min_count: int = 50) -> tuple[DataFrame, list[str]]:
     """Sampled if asked, group split, tabular features with their names.
 
-    Takes the result of ``prepare`` or of ``prepare_features``.
+    Takes the result of ``prepare`` or of ``prepare_features``. The narrow
+    columns are written first, since the sample, the split and the category
+    list each read them again and must not scan the text each time.
     """
-    sampled = prepared if rows is None else sampling.sample_n(prepared, "row_id", rows)
+    narrow = written_once(features.numeric_features(prepared).drop("code"), "prepared")
+    sampled = narrow if rows is None else sampling.sample_n(narrow, "row_id", rows)
     split = sampling.group_split(sampled, "cve_id")
     return features.meta_features(split, min_count, keep=["label", "split"])

@@ -15,6 +15,7 @@ from weakspot.plans.code_view import (
     IDS_SQL, NUMBER_SQL, VIEW, VIEW_ENRICHED, VIEW_IDS, VIEW_SQL, ENRICHED_SQL, code_view, strip_sql, with_ids, with_sql,
 )
 from weakspot.plans.registry import query, table
+from weakspot.session import written_once
 
 MIN_COUNT = 20  # smallest count of a frequent category, for small tables
 
@@ -69,7 +70,10 @@ def one_hot_vector(spark, sf):
 
 
 def _enriched(spark, sf) -> DataFrame:
-    return enrich.duplicate_counts(enrich.code_features(with_ids(code_view(spark, sf, label=False)))).drop("cve_number")
+    """Enriched rows that leave their text in the scan."""
+    rows = enrich.code_features(with_ids(code_view(spark, sf, label=False)))
+    lean = rows.withColumn("code_token_count", X.token_count("code")).drop("code", "cve_number")
+    return enrich.duplicate_counts(lean)
 
 
 _META = _SLIM.format("enriched") + rf""",
@@ -86,7 +90,9 @@ _CELLS = """cells AS (SELECT row_id, unnest(['code_token_count', 'cve_number', '
 @query(with_sql(VIEW_SQL, IDS_SQL, ENRICHED_SQL, _META, _CELLS) + "SELECT row_id, feature, value FROM cells WHERE value <> 0")
 def meta_features(spark, sf):
     """All non-zero cells of the feature table, in long form."""
-    rows = _enriched(spark, sf).select("row_id", "code", "language", "dataset", "cve_id", "cwe_id", *C.NUMERIC_FEATURES[2:])
+    numbers = [c for c in C.NUMERIC_FEATURES if c != "cve_number"]
+    rows = written_once(
+        _enriched(spark, sf).select("row_id", "language", "dataset", "cve_id", "cwe_id", *numbers), "enriched")
     wide, names = features.meta_features(rows, MIN_COUNT)
     cells = F.array(*[F.struct(F.lit(n).alias("feature"), F.col(f"`{n}`").cast("double").alias("value")) for n in names])
     return wide.select("row_id", F.inline(cells)).filter("value <> 0")
