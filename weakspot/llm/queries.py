@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weakspot.llm import labelled, packing, pii, quality, topk, toxicity
+from weakspot.llm import bpe, jaccard, labelled, lattice, mincut, packing, pii, quality, topk, toxicity
 from weakspot.plans.registry import query, table
 
 
@@ -16,6 +16,18 @@ def op2_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest_spans(table(spark, sf_dir, "documents"))
 
 
+@query()
+def op3_mincut_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page by minimum cut."""
+    return mincut.extract(table(spark, sf_dir, "pages"), ["page_id", "url"])
+
+
+@query()
+def op4_bpe_recursive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every document's byte-level BPE ids and of what they decode to."""
+    return bpe.digest(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 def _classified(spark: SparkSession, sf_dir: str, operator, parts: int, out: int) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = operator.fit(docs, table(spark, sf_dir, "labels"), labelled.fold("doc_id", parts) != out)
@@ -35,6 +47,12 @@ def op6_toxicity_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _classified(spark, sf_dir, toxicity, 5, 0)
 
 
+@query()
+def op7_jaccard_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose 4-word shingles have a Jaccard similarity of 0.85 or more."""
+    return jaccard.classes(table(spark, sf_dir, "documents"))
+
+
 @query()
 def op8_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 10 best rows of every vector whose id is divisible by 100."""
@@ -42,6 +60,12 @@ def op8_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("query_id", F.col("rank").cast("int"), "vec_id", "score")
 
 
+@query()
+def op9_lattice_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of vectors of one label with a cosine of 0.93 or more."""
+    return lattice.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 @query()
 def op10_pack_slack(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of 1,024 tokens by minimum bin slack."""
