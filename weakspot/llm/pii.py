@@ -163,6 +163,17 @@ def find_spans(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
                                           "redacted string", run)
 
 
+def masked(docs: DataFrame, text: str = "text") -> DataFrame:
+    """All columns, the text redacted; NULL becomes the empty text."""
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
+
+    def run(batches: Iterator[pa.RecordBatch]):
+        for batch in batches:
+            yield {**{c: batch.column(c) for c in batch.schema.names}, text: [redact(t, find(t)) for t in texts(batch, text)]}
+
+    return map_columns(docs, docs.columns, fields, run)
+
+
 def digest_spans(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Counts of the base kinds, their digest and all spans as text, for each row."""
     kind = docs.schema[key].dataType.simpleString()

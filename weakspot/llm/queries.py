@@ -6,10 +6,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weakspot.llm import bpe, jaccard, labelled, lattice, mincut, packing, pii, quality, topk, toxicity
+from weakspot.llm import bpe, hmm, jaccard, labelled, lattice, mincut, packing, pii, quality, topk, toxicity
 from weakspot.plans.registry import query, table
 
 
+@query()
+def op1_hmm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log10 probabilities of every document; rows with remainder 2 of 7 are held out."""
+    return hmm.score(table(spark, sf_dir, "documents"), labelled.fold("doc_id", 7) == 2)
+
+
 @query()
 def op2_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every document, by anchor expansion."""
