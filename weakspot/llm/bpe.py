@@ -39,10 +39,10 @@ WITH RECURSIVE step(w, tokens) USING KEY (w) AS (
     UNION
     SELECT s.w, s.tokens[:b.pos - 1] || [b.made] || s.tokens[b.pos + 2:]
     FROM step s JOIN (
-        SELECT p.w, min(m.made * 4096 + p.pos) AS best, best // 4096 AS made, best % 4096 AS pos
+        SELECT p.w, min(m.made * 4096 + p.pos) AS best, (best // 4096)::INTEGER AS made, best % 4096 AS pos
         FROM (SELECT w, pos, tokens[pos] AS a, tokens[pos + 1] AS b
               FROM (SELECT w, tokens, unnest(range(1, len(tokens))) AS pos FROM step)) p
-        JOIN merges m ON m.pair = p.a * 1048576 + p.b
+        JOIN merges m ON m.pair = p.a::BIGINT * 1048576 + p.b
         GROUP BY p.w
     ) b ON s.w = b.w
 )
@@ -73,7 +73,7 @@ class Encoder:
         self.ranks = read_ranks(path)
         self.names = {i: t for t, i in self.ranks.items()}
         self.pattern = regex.compile(pattern)
-        self.cache = Cache(300_000)
+        self.cache, self.known = Cache(400_000), Cache(400_000)
         self.db = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "400MB", "temp_directory": ""})
         rows = merge_table(self.ranks)
         merges = pa.table({"pair": pa.array([a * 1048576 + b for a, b, _ in rows], pa.int64()),  # noqa: F841
@@ -90,7 +90,7 @@ class Encoder:
         out = {}
         if short:
             start = pa.table({"w": pa.array(short, pa.int64()),  # noqa: F841
-                              "tokens": pa.array([[self.bytes[b] for b in raw[i]] for i in short], pa.list_(pa.int64()))})
+                              "tokens": pa.array([[self.bytes[b] for b in raw[i]] for i in short], pa.list_(pa.int32()))})
             self.db.execute(f"CREATE OR REPLACE TEMP TABLE done AS {ENCODE}")
             for w, ids, n, hexed in self.db.execute(DECODE).fetchall():
                 out[words[w]] = ids, n, bytes.fromhex(hexed)
@@ -131,10 +131,16 @@ class Encoder:
         fresh = {}
         if new:
             split = [self.pattern.findall(p) for p in new]
-            known = self.words(list({w for ws in split for w in ws}))
+            wanted = {w for ws in split for w in ws}
+            known = {w: self.known[w] for w in wanted if w in self.known}
+            made = self.words([w for w in wanted if w not in known])
+            for w, m in made.items():
+                self.known.keep(w, m)
+            known |= made
             for p, ws in zip(new, split):
-                made = [known[w] for w in ws]
-                fresh[p] = ",".join(m[0] for m in made), sum(m[1] for m in made), b"".join(m[2] for m in made)
+                parts = [known[w] for w in ws]
+                fresh[p] = parts[0] if len(parts) == 1 else (
+                    ",".join([m[0] for m in parts]), sum([m[1] for m in parts]), b"".join([m[2] for m in parts]))
         for parts in cut:
             yield [fresh.get(p) or self.cache[p] for p in parts]
         for p, made in fresh.items():
