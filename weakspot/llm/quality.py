@@ -154,7 +154,7 @@ def fit(docs: DataFrame, labels: DataFrame, train, label: str = "quality", key:
             return pd.DataFrame({"at": moved, "z": (z1 - z0)[moved], "n": (n1 - n0)[moved]})
 
         change = (rows.groupBy("shard").applyInPandas(one, "at long, z double, n double").groupBy("at")
-                  .agg(F.sum("z").alias("z"), F.sum("n").alias("n")).toPandas())  # at most one row per table cell
+                  .agg(F.sum("z").alias("z"), F.sum("n").alias("n")).toArrow().to_pandas())  # at most one row per table cell
         at = change["at"].to_numpy()
         z[at] += change["z"].to_numpy() / shards
         n[at] += change["n"].to_numpy() / shards

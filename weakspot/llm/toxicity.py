@@ -174,7 +174,7 @@ def fit(docs: DataFrame, labels: DataFrame, train, label: str = "toxic", key: st
     even = F.lit(sizes.get(0, 1) / max(1, sizes.get(1, 1)))  # classes as if equally large
     typical = {1: spread.filter((F.col("t") >= LEAST_DOCS) & (F.col("t") * even >= RATIO * (F.col("o") + 0.5))).orderBy(F.desc("t"), "code"),
                0: spread.filter((F.col("o") >= LEAST_DOCS) & (F.col("o") >= RATIO / 4 * (F.col("t") * even + 0.5))).orderBy(F.desc("o"), "code")}
-    table = lambda df: np.sort(df.toPandas()["code"].to_numpy(dtype="int64").view("uint64"))
+    table = lambda df: np.sort(df.toArrow().to_pandas()["code"].to_numpy(dtype="int64").view("uint64"))
     content = {}
     for y, chosen in typical.items():
         vocabulary = table(chosen.limit(VOCABULARY).select("code"))
@@ -185,7 +185,7 @@ def fit(docs: DataFrame, labels: DataFrame, train, label: str = "toxic", key: st
                 yield {"window": [w for c in kept for w in windows(c[_among(c, vocabulary)])]}
 
         made = map_columns(seen.filter(F.col("y") == y), ["codes"], "window binary", cut)
-        taken = made.orderBy(F.xxhash64("window"), "window").limit(TRAINING_WINDOWS).toPandas()["window"]
+        taken = made.orderBy(F.xxhash64("window"), "window").limit(TRAINING_WINDOWS).toArrow().to_pandas()["window"]
         content[y] = train_dictionary([bytes(w) for w in taken])
     savings = Savings(content[1], content[0], table(background))
     shared = docs.sparkSession.sparkContext.broadcast(savings)
@@ -196,7 +196,7 @@ def fit(docs: DataFrame, labels: DataFrame, train, label: str = "toxic", key: st
             yield {"y": batch.column("y"), **{n: made[:, i] for i, n in enumerate(("n", "mean", "top", "total"))}}
 
     unseen = map_columns(coded.filter("part = 0"), ["text", "y"], "y int, n double, mean double, top double, total double",
-                         measure).toPandas().sort_values(["y", "n", "mean", "top", "total"])  # at most 2 * sample_rows numbers
+                         measure).toArrow().to_pandas().sort_values(["y", "n", "mean", "top", "total"])  # at most 2 * sample_rows numbers
     y = unseen["y"].to_numpy(dtype="float64")
     # between the balanced sample's and the labelled rows' own shares
     share = {v: (counts[v] / max(1, int((y == v).sum()))) ** 0.5 for v in (0, 1)}
