@@ -89,5 +89,6 @@ def describe_pages(pages: DataFrame, key: str, html: str) -> DataFrame:
     Nested blocks need a tag stack, so parsing runs in Python by Arrow
     batches; everything after it is a built-in expression.
     """
-    return (pages.select(key, description_block(html).alias("block"))
+    named = F.when(F.lower(html).contains("description"), F.col(html))  # other pages never reach Python
+    return (pages.select(key, description_block(named).alias("block"))
             .withColumn("description", first_sentence("block")))

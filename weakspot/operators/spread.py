@@ -62,7 +62,9 @@ def join_group_values(
     hot = (held.filter(F.col(size) >= hot_rows).orderBy(F.desc(size), *keys).limit(max_hot)
            .select(*keys, F.col("__v").alias("__hot")))
     cold = held.select(*[F.col(k).alias(f"__c_{k}") for k in keys], F.col("__v").alias("__cold"))
-    spread = F.when(F.col("__hot").isNotNull(), F.xxhash64(row_key)).otherwise(F.col(keys[0]))
+    # rows of hot groups and rows without a key match nothing in the shuffled join
+    lone = F.col("__hot").isNotNull() | F.col(keys[0]).isNull()
+    spread = F.when(lone, F.xxhash64(row_key)).otherwise(F.col(keys[0]))
     marked = rows.join(F.broadcast(hot), keys, "left").withColumn("__spread", spread)
     on: list[Column] = [F.col("__spread") == F.col(f"__c_{keys[0]}")]
     on += [F.col(k) == F.col(f"__c_{k}") for k in keys[1:]]

@@ -5,7 +5,7 @@ from __future__ import annotations
 import warnings
 from collections.abc import Iterable
 
-from pyspark.errors import PySparkException
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,10 +39,15 @@ def read_split(spark: SparkSession, path: str, split: str = "train") -> DataFram
 def read_optional(
     spark: SparkSession, path: str, required: Iterable[str], split: str | None = None
 ) -> DataFrame | None:
-    """A source that may be absent or of another shape; then None."""
+    """A source that may be absent or of another shape; then None.
+
+    Other faults, such as unreadable files, are raised.
+    """
     try:
         df = read_split(spark, path, split) if split else spark.read.parquet(path)
-    except PySparkException as reason:
+    except AnalysisException as reason:
+        if reason.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
         warnings.warn(f"going on without {path}: {reason}")
         return None
     return require_columns(df, required, on_missing="none")
