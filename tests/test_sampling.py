@@ -158,5 +158,6 @@ def test_large_dimension_is_salted(spark, monkeypatch):
     want = Counter((r.k, r.v) for r in rows.join(dim, "k", "left").collect())
     monkeypatch.setattr(spread, "is_small", lambda df: False)
     assert Counter((r.k, r.v) for r in spread.lookup_join(rows, dim, "k", "row_id", salts=8).collect()) == want
+    assert Counter((r.k, r.v) for r in spread.lookup_join(rows, dim, "k", "row_id", salts=8, max_hot=2).collect()) == want
     monkeypatch.undo()
     assert spread.is_small(dim) and not spread.is_small(dim, max_rows=2) and not spread.is_small(dim, max_bytes=10)

@@ -102,7 +102,8 @@ def extend_dimension(spark: SparkSession, path: str, df: DataFrame, pages: DataF
     """Add descriptions of ids the dimension lacks, from stored pages.
 
     ``pages`` holds (cwe_id, html). Known ids are never parsed again unless
-    ``refresh`` rebuilds the dimension; new rows are appended.
+    ``refresh`` rebuilds the dimension; new rows are appended. Several pages
+    of one id give one row, with the first description in text order.
     """
     from weakspot.operators.html import describe_pages
 
@@ -111,6 +112,7 @@ def extend_dimension(spark: SparkSession, path: str, df: DataFrame, pages: DataF
         known = known.limit(0)
     wanted = missing_ids(df, known)
     found = describe_pages(pages.join(wanted, "cwe_id"), "cwe_id", "html")
+    found = found.groupBy("cwe_id").agg(F.min("description").alias("description"))
     rows = wanted.join(found, "cwe_id", "left").select("cwe_id", "description")
     rows.write.mode("overwrite" if refresh else "append").parquet(path)
     return spark.read.parquet(path)

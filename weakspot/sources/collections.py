@@ -15,8 +15,9 @@ from weakspot.sources.tables import require_columns
 
 def with_row_id(df: DataFrame, dataset: str, id_column: str | None = None) -> DataFrame:
     """``row_id`` that a rerun gives again: a key column, else the place of
-    the row in its Parquet file."""
-    place = [F.col(id_column)] if id_column else [F.col("_metadata.file_name"), F.col("_metadata.row_index")]
+    the row in its Parquet file, named by its whole path: files of one name
+    in two folders stay apart."""
+    place = [F.col(id_column)] if id_column else [F.col("_metadata.file_path"), F.col("_metadata.row_index")]
     return df.withColumn("row_id", F.concat_ws(":", F.lit(dataset), *place))
 
 
