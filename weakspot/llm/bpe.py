@@ -49,7 +49,7 @@ WITH RECURSIVE step(w, tokens) USING KEY (w) AS (
 SELECT w, tokens FROM step
 """
 DECODE = """
-SELECT p.w, array_to_string(any_value(p.tokens), ',') AS ids, any_value(len(p.tokens)) AS n, string_agg(v.hex, '' ORDER BY p.pos) AS hex
+SELECT p.w, array_to_string(any_value(p.tokens), ',') AS ids, string_agg(v.hex, '' ORDER BY p.pos) AS hex
 FROM (SELECT w, tokens, unnest(tokens) AS id, generate_subscripts(tokens, 1) AS pos FROM done) p JOIN vocabulary v ON v.id = p.id
 GROUP BY p.w
 """
@@ -83,8 +83,8 @@ class Encoder:
         self.db.execute("CREATE TABLE vocabulary AS SELECT * FROM vocabulary")
         self.bytes = [self.ranks.get(bytes([b])) for b in range(256)]
 
-    def words(self, words: list[str]) -> dict[str, tuple[str, int, bytes]]:
-        """(ids joined by commas, their number, decoded bytes) of each word."""
+    def words(self, words: list[str]) -> dict[str, tuple[str, bytes]]:
+        """(ids joined by commas, decoded bytes) of each word."""
         raw = [w.encode() for w in words]
         short = [i for i, r in enumerate(raw) if len(r) <= LONG]
         out = {}
@@ -92,12 +92,13 @@ class Encoder:
             start = pa.table({"w": pa.array(short, pa.int64()),  # noqa: F841
                               "tokens": pa.array([[self.bytes[b] for b in raw[i]] for i in short], pa.list_(pa.int32()))})
             self.db.execute(f"CREATE OR REPLACE TEMP TABLE done AS {ENCODE}")
-            for w, ids, n, hexed in self.db.execute(DECODE).fetchall():
-                out[words[w]] = ids, n, bytes.fromhex(hexed)
+            made = self.db.sql(DECODE).to_arrow_table()
+            for w, ids, hexed in zip(*(made.column(c).to_pylist() for c in ("w", "ids", "hex"))):
+                out[words[w]] = ids, bytes.fromhex(hexed)
         for w, r in zip(words, raw):
             if len(r) > LONG:
                 ids = self.heap(r)
-                out[w] = ",".join(map(str, ids)), len(ids), b"".join(self.names[i] for i in ids)
+                out[w] = ",".join(map(str, ids)), b"".join(self.names[i] for i in ids)
         return out
 
     def heap(self, raw: bytes) -> list[int]:
@@ -124,11 +125,12 @@ class Encoder:
             offer(before[i])
         return [self.ranks[p] for p in parts if p is not None]
 
-    def encode(self, own: list[str]) -> Iterator[list[tuple[str, int, bytes]]]:
-        """Each text's segments as (ids, number, decoded bytes)."""
+    def encode(self, own: list[str]) -> Iterator[tuple[str, bytes]]:
+        """Each text's ids joined by commas, and the bytes they decode to."""
         cut = [segments(t) for t in own]
-        new = list({p for parts in cut for p in parts if p not in self.cache})
-        fresh = {}
+        met = set().union(*cut)
+        held = {p: self.cache[p] for p in met if p in self.cache}
+        new = [p for p in met if p not in held]
         if new:
             split = [self.pattern.findall(p) for p in new]
             wanted = {w for ws in split for w in ws}
@@ -139,12 +141,12 @@ class Encoder:
             known |= made
             for p, ws in zip(new, split):
                 parts = [known[w] for w in ws]
-                fresh[p] = parts[0] if len(parts) == 1 else (
-                    ",".join([m[0] for m in parts]), sum([m[1] for m in parts]), b"".join([m[2] for m in parts]))
+                held[p] = parts[0] if len(parts) == 1 else (",".join([m[0] for m in parts]), b"".join([m[1] for m in parts]))
+        ids, raw = {p: m[0] for p, m in held.items()}, {p: m[1] for p, m in held.items()}
         for parts in cut:
-            yield [fresh.get(p) or self.cache[p] for p in parts]
-        for p, made in fresh.items():
-            self.cache.keep(p, made)
+            yield ",".join(map(ids.__getitem__, parts)), b"".join(map(raw.__getitem__, parts))
+        for p in new:
+            self.cache.keep(p, held[p])
 
 
 _ENCODERS: dict[tuple[str, str], Encoder] = {}
@@ -175,13 +177,13 @@ def _encoded(docs: DataFrame, ranks: str, pattern: str, key: str, text: str, fie
 def encode(docs: DataFrame, ranks: str, pattern: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, ids array<int>, decoded string) of whole texts."""
     return _encoded(docs, ranks, pattern, key, text, "ids array<int>, decoded string", lambda rows: {
-        "ids": [[int(i) for s in r for i in s[0].split(",")] for r in rows],
-        "decoded": [b"".join(s[2] for s in r).decode() for r in rows]})
+        "ids": [[int(i) for i in ids.split(",")] if ids else [] for ids, _ in rows],
+        "decoded": [raw.decode() for _, raw in rows]})
 
 
 def digest(docs: DataFrame, ranks: str, pattern: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, n_tokens, ids_sha256, decoded_sha256) of whole texts."""
     return _encoded(docs, ranks, pattern, key, text, "n_tokens long, ids_sha256 string, decoded_sha256 string", lambda rows: {
-        "n_tokens": [sum(s[1] for s in r) for r in rows],
-        "ids_sha256": [hashlib.sha256(",".join(s[0] for s in r).encode()).hexdigest() for r in rows],
-        "decoded_sha256": [hashlib.sha256(b"".join(s[2] for s in r)).hexdigest() for r in rows]})
+        "n_tokens": [ids.count(",") + 1 if ids else 0 for ids, _ in rows],
+        "ids_sha256": [hashlib.sha256(ids.encode()).hexdigest() for ids, _ in rows],
+        "decoded_sha256": [hashlib.sha256(raw).hexdigest() for _, raw in rows]})
