@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weakspot.llm import bpe, hmm, jaccard, labelled, lattice, mincut, packing, pii, quality, topk, toxicity
+from weakspot.llm import bpe, counts, hmm, jaccard, labelled, lattice, mincut, packing, pii, quality, runs, topk, toxicity, variants
 from weakspot.plans.registry import query, table
 
 
@@ -77,3 +77,46 @@ def op10_pack_slack(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of 1,024 tokens by minimum bin slack."""
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
                         public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+# crc32 by its table of 256 entries; letters are ASCII or two bytes beginning with 195
+_VARIANTS_SQL = r"""WITH RECURSIVE crc_table AS (
+    SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t
+    FROM (SELECT unnest(range(256))::BIGINT AS i)),
+  found AS (SELECT coalesce(doc_id::VARCHAR, '') AS doc, translate(w, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS w
+    FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\x{C0}-\x{FF}]+')) AS w FROM documents)),
+  counted AS (SELECT doc, w, count(*) AS n FROM found WHERE length(w) >= 7 GROUP BY doc, w),
+  hashed AS (SELECT w, n, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(doc || ':' || w, ''),
+      lambda c: CASE WHEN unicode(c) < 128 THEN [unicode(c)::BIGINT] ELSE [195::BIGINT, unicode(c)::BIGINT - 64] END))),
+      lambda c, b: xor(c >> 8, t[xor(c & 255, b) + 1]))) AS h FROM counted, crc_table),
+  slipped AS (SELECT CASE WHEN h % 31 = 0 THEN substr(w, 1, (h % length(w))::BIGINT) || substr(w, (h % length(w))::BIGINT + 2) ELSE w END AS word, n FROM hashed),
+  words AS (SELECT word, sum(n)::BIGINT AS n FROM slipped WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+  cut AS (SELECT word, n, p, substr(word, 1, p - 1) || substr(word, p + 1) AS v FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS p FROM words)),
+  near AS (SELECT a.word AS a, a.n AS a_n, b.word AS b, b.n AS b_n FROM cut a JOIN cut b ON a.v = b.v AND a.p = b.p AND a.word <> b.word
+    UNION SELECT cut.word, cut.n, words.word, words.n FROM cut JOIN words ON v = words.word
+    UNION SELECT words.word, words.n, cut.word, cut.n FROM cut JOIN words ON v = words.word),
+  best AS (SELECT a, a_n, count(*) AS n_near, first(b ORDER BY b_n DESC, b) AS b, max(b_n) AS b_n FROM near GROUP BY a, a_n),
+  forms AS (SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN b_n >= 10 * n THEN b END AS form,
+    CASE WHEN b_n >= 10 * n THEN b_n END AS form_n FROM words LEFT JOIN best ON a = word),
+  steps(word, place) AS (SELECT word, word FROM forms UNION ALL SELECT s.word, f.form FROM steps s JOIN forms f ON f.word = s.place AND f.form IS NOT NULL),
+  ends AS (SELECT s.word, s.place AS root FROM steps s JOIN forms f ON f.word = s.place AND f.form IS NULL)
+SELECT word, form, root, n, n_near, form_n FROM forms JOIN ends USING (word)"""
+
+
+@query(_VARIANTS_SQL)
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents with their near words, form and root."""
+    return variants.variants(variants.count_words(table(spark, sf_dir, "documents")))
+
+
+@query()
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of every document, with planted ends in a tenth of them."""
+    return runs.digest_runs(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and tokens of every document, and whether it has more than 4,096 tokens."""
+    counted = counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), ["doc_id"])
+    return counted.withColumn("over_limit", F.col("n_tokens") > 4096)
