@@ -7,12 +7,13 @@ from functools import reduce
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weakspot import constants as C
-from weakspot.models.estimators import EstimatorSpec, boosted
+from weakspot.models.boosting import HistogramBoosting, second_order
+from weakspot.models.estimators import EstimatorSpec
 from weakspot.operators import balance as B
 from weakspot.operators import metrics as M
 from weakspot.session import ensure_checkpoints, written_once
@@ -42,25 +43,21 @@ def strategies(k: int = C.SMOTE_NEIGHBOURS, seed: int = C.SAMPLE_SEED) -> dict[s
     }
 
 
-def _with_vector(df: DataFrame) -> DataFrame:
-    return df.withColumn("features", array_to_vector(F.col("embedding").cast("array<double>")))
-
-
 def compare_balancing(train: DataFrame, test: DataFrame, rounds: int = 100, depth: int = 6, rate: float = 0.3,
                       chosen: dict | None = None, parallelism: int = 3) -> tuple[DataFrame, dict]:
     """Metrics on the test rows for each strategy, best F1 first, and the
     fitted models. Inputs are (row_id, embedding, label)."""
-    ensure_checkpoints(train.sparkSession)
-    held_out = _with_vector(test).select("features", "label")
+    held_out = test.select("embedding", "label")
+    how = second_order(rounds, depth, rate)
 
     def fit(sampler: Callable[[DataFrame], DataFrame] | None):
         if sampler is None:
             sizes = B.class_sizes(train)
-            ready = _with_vector(train).withColumn("weight", B.class_weight("label", sizes[0] / sizes[1]))
-            return boosted(rounds, depth, rate, weight="weight").fit(ready)
+            ready = train.withColumn("weight", B.class_weight("label", sizes[0] / sizes[1]))
+            return HistogramBoosting(how, "embedding", weight="weight").fit(ready)
         # the sample feeds many jobs of the fit
         ready = written_once(sampler(train).select("embedding", "label"), "balanced")
-        return boosted(rounds, depth, rate).fit(_with_vector(ready))
+        return HistogramBoosting(how, "embedding").fit(ready)
 
     named = chosen or strategies()
     models = dict(zip(named, side_by_side(train.sparkSession, fit, list(named.values()), parallelism)))

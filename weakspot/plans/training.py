@@ -6,19 +6,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weakspot.models import attribution, compare, estimators, search, voting
+from weakspot.models.boosting import HistogramBoosting, second_order
 from weakspot.operators import balance, features, metrics, sampling
-from weakspot.session import ensure_checkpoints, written_once
+from weakspot.session import written_once
 from weakspot.sources.tables import write_parquet
 
 
 def select_features(
-    train: DataFrame, test: DataFrame, names: list[str], min_votes: int = 0, shrink: float = 1.0, path: str | None = None
+    train: DataFrame, test: DataFrame, names: list[str], min_votes: int = 0, voters: list | None = None, path: str | None = None
 ) -> tuple[DataFrame, DataFrame, list[str], DataFrame]:
     """Both parts cut to the features with enough votes, in vote order.
 
     With ``path`` the vote table, the winners and both parts are kept there.
     """
-    votes = voting.feature_votes(train, names, shrink=shrink)
+    votes = voting.feature_votes(train, names, voters=voters)
     chosen, positions = voting.selected_positions(votes, names, min_votes)
     parts = [
         features.with_names(
@@ -33,11 +34,10 @@ def select_features(
     return parts[0], parts[1], chosen, votes
 
 
-def fit_final(train: DataFrame, test: DataFrame, rounds: int = 500) -> tuple[object, DataFrame]:
-    """The weighted boosted model and its report on test."""
-    ensure_checkpoints(train.sparkSession)
+def fit_final(train: DataFrame, test: DataFrame, rounds: int = 500, features: str = "features") -> tuple[object, DataFrame]:
+    """The weighted second-order model and its report on test."""
     ratio = metrics.imbalance_ratio(train).first()["ratio"]
-    model = estimators.final_boosted(rounds=rounds).fit(train.withColumn("weight", balance.class_weight("label", ratio)))
+    model = estimators.final_boosted(features, rounds=rounds).fit(train.withColumn("weight", balance.class_weight("label", ratio)))
     return model, metrics.class_report(compare.score(model, test))
 
 
@@ -68,17 +68,18 @@ def balanced(train: DataFrame) -> DataFrame:
 
 
 def best_family(
-    rows: DataFrame, names: list[str], shrink: float = 1.0, spaces: dict = search.SPACES, draws: int = 10
+    rows: DataFrame, names: list[str], families: set[str] | None = None, spaces: dict = search.SPACES, draws: int = 10
 ) -> dict[str, DataFrame]:
-    """Families compared on dev, the winner tuned, reported on test and
+    """Families (all seven, or those named) compared on dev, the winner tuned, reported on test and
     explained: tables ``comparison``, ``search``, ``report``, ``attribution``."""
     parts = three_way(rows)
     train = balanced(parts["train"])
     count = train.count()
-    comparison, _ = compare.compare_families(train, parts["dev"], estimators.families(count, shrink=shrink))
+    specs = [s for s in estimators.families(count) if families is None or s.name in families]
+    comparison, _ = compare.compare_families(train, parts["dev"], specs)
     best = metrics.winner(comparison).first()["model"]
     kind = search.space_of(best)
-    tried, model, setting = search.random_search(parts["train"], search.maker(kind, count), spaces[kind], draws)
+    tried, model, setting = search.tune(kind, parts["train"], spaces[kind], draws, count)
     report = metrics.class_report(compare.score(model, parts["test"]))
     if kind == "logistic":
         phi = attribution.linear_attribution(parts["test"], list(model.coefficients), parts["train"])
@@ -95,11 +96,11 @@ def ensemble(rows: DataFrame, spaces: dict = search.DEEP_SPACES, draws: int = 5,
     report of their weighted vote on test."""
     parts = three_way(rows)
     train = balanced(parts["train"])
-    plain = {"boosted": estimators.boosted(base_rounds, 6, 0.03), "forest": estimators.forest(100, None)}
+    plain = {"boosted": HistogramBoosting(second_order(base_rounds, 6, 0.03, l2=3.0)), "forest": estimators.forest(100, None)}
     tuned, changes = {}, []
     for kind in ("boosted", "forest"):
         base = plain[kind].fit(train)
-        _, tuned[kind], _ = search.random_search(parts["train"], search.maker(kind, 0), spaces[kind], draws, seed=222)
+        _, tuned[kind], _ = search.tune(kind, parts["train"], spaces[kind], draws, seed=222)
         both = compare.score(tuned[kind], compare.score(base, parts["dev"], "base"), "tuned")
         changes.append(metrics.improvement(both, "base", "tuned").select(F.lit(kind).alias("family"), "*"))
     w_a, w_b = compare.find_weights(tuned["boosted"], tuned["forest"], parts["dev"])
