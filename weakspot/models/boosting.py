@@ -494,6 +494,8 @@ def fit_many(df: DataFrame, jobs: list[tuple[Growth, str | None]], features: str
     """A model for each (settings, weight column), all trained in the same passes."""
     ensure_checkpoints(df.sparkSession)
     size = width_of(df, features)
+    if not size:  # no rows with features
+        return [BoostedModel([], 0.0, 0, features, kind) for _ in jobs]
     names = list(dict.fromkeys(w for _, w in jobs if w))
     held = df.select(*dict.fromkeys([*([row_key] if row_key else []), features, label, *names])).withColumn("__one", F.lit(1.0))
     columns = ["__one", *names]

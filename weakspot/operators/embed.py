@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 from weakspot import constants as C
 from weakspot.functions.text import col
+from weakspot.operators.spread import lookup_join
+from weakspot.session import written_once
 
 
 def mean_pool(hidden, mask) -> Column:
@@ -61,6 +63,100 @@ def hashed_embedding(df: DataFrame, text: str = "code", dim: int = C.EMBEDDING_D
     return shares.withColumn(output, vector_to_array("__mean", "float32")).drop("__tokens", "__tf", "__mean")
 
 
+def token_counts(df: DataFrame, key: str, text: str = "code", max_tokens: int | None = C.MAX_TOKENS) -> DataFrame:
+    """(key, token, n) over the first ``max_tokens`` tokens of each text; None: over all."""
+    tokens = F.regexp_extract_all(F.coalesce(F.col(text), F.lit("")), F.lit(C.TOKEN_PATTERN), F.lit(0))
+    used = tokens if max_tokens is None else F.slice(tokens, 1, max_tokens)
+    return df.select(key, F.explode(used).alias("token")).groupBy(key, "token").agg(F.count(F.lit(1)).alias("n"))
+
+
+def pooled_embedding(df: DataFrame, vectors: DataFrame, key: str = "row_id", text: str = "code",
+                     max_tokens: int | None = C.MAX_TOKENS, output: str = "embedding") -> DataFrame:
+    """(key, mean vector) of each text over its first tokens, by a table
+    (token, vector). Tokens that the table lacks are masked; a text without
+    known tokens has no row.
+
+    A token is looked up once for each text that holds it. Frequent tokens are
+    hot keys of that join, so the lookup measures, broadcasts or salts.
+    """
+    counts = token_counts(df, key, text, max_tokens)
+    known = lookup_join(counts, vectors.select("token", "vector"), "token", key).filter("vector IS NOT NULL")
+    weighed = array_to_vector(F.transform("vector", lambda x: x.cast("double") * F.col("n")))
+    summed = known.select(key, "n", weighed.alias("__v")).groupBy(key).agg(Summarizer.sum(F.col("__v")).alias("__s"), F.sum("n").alias("__n"))
+    return summed.select(key, F.transform(vector_to_array("__s"), lambda x: x / F.col("__n")).alias(output))
+
+
+def train_vectors(df: DataFrame, dim: int = 64, window: int = 4, least: int = 5, text: str = "code", seed: int = 42) -> DataFrame:
+    """(token, vector) from co-occurrence counts by a randomised low-rank factorisation.
+
+    Counts of tokens within ``window`` of each other, as positive pointwise
+    mutual information, are the sparse matrix A. A hashed sign matrix W of
+    ``dim`` columns gives Y = A W, two power steps sharpen it, and an orthonormal
+    base Q of its columns gives the small matrix T = Q' A Q. With T = U diag(l) U'
+    the vectors are the rows of Q U diag(sqrt |l|), so their products come near
+    to A. Only Y'Y and T, dim by dim, reach the driver; A is symmetric and stays
+    in rows (token, other, weight) of the shared folder. Tokens with fewer than
+    ``least`` occurrences are left out.
+    """
+    tokens = F.regexp_extract_all(F.coalesce(F.col(text), F.lit("")), F.lit(C.TOKEN_PATTERN), F.lit(0))
+    held = df.select(tokens.alias("t"))
+    singles = written_once(held.select(F.explode("t").alias("token")).groupBy("token").agg(
+        F.count(F.lit(1)).alias("n")).filter(F.col("n") >= least), "tokens")
+    total = singles.agg(F.sum("n")).first()[0]
+    if not total:
+        return df.sparkSession.createDataFrame([], "token string, vector array<double>")
+    steps = F.array(*[F.lit(k) for k in [*range(-window, 0), *range(1, window + 1)]])
+    near = F.flatten(F.transform("t", lambda x, i: F.transform(
+        F.filter(F.transform(steps, lambda k: F.get("t", i + k)), lambda y: y.isNotNull()), lambda y: F.struct(x.alias("token"), y.alias("other")))))
+    pairs = held.select(F.explode(near).alias("p")).groupBy("p.token", "p.other").agg(F.count(F.lit(1)).alias("c"))
+    sizes = F.col("n").cast("double")
+    weighed = lookup_join(lookup_join(pairs, singles, "token", "other").withColumn("__a", sizes).drop("n"),
+                          singles.withColumnRenamed("token", "other"), "other", "token").filter("__a IS NOT NULL AND n IS NOT NULL")
+    mutual = F.log(F.col("c") * F.lit(float(total)) / (F.col("__a") * sizes * 2 * window))
+    matrix = written_once(weighed.select("token", "other", mutual.alias("weight")).filter("weight > 0"), "mutual")
+    signs = F.transform(F.sequence(F.lit(0), F.lit(dim - 1)), lambda i: F.when(F.xxhash64(F.col("other"), i, F.lit(seed)) % 2 == 0, 1.0).otherwise(-1.0))
+
+    def times(source: DataFrame) -> DataFrame:
+        """A times the vectors of ``source``, row by row."""
+        scaled = array_to_vector(F.transform("vector", lambda x: x * F.col("weight")))
+        return written_once(source.select("token", scaled.alias("__v")).groupBy("token").agg(Summarizer.sum(F.col("__v")).alias("__s"))
+                            .select("token", vector_to_array("__s").alias("vector")), "product")
+
+    def by_other(vectors: DataFrame) -> DataFrame:
+        return lookup_join(matrix, vectors.withColumnRenamed("token", "other"), "other", "token").filter("vector IS NOT NULL")
+
+    y = times(matrix.withColumn("vector", signs))
+    for _ in range(2):
+        y = times(by_other(_orthonormal(y, dim)))
+    base = written_once(_orthonormal(y, dim), "base")
+    both = times(by_other(base)).withColumnRenamed("vector", "__b").join(base, "token")
+    small = _products(both, "vector", "__b", dim)
+    values, turn = np.linalg.eigh((small + small.T) / 2)
+    return _turned(base, turn * np.sqrt(np.abs(values)))
+
+
+def _products(df: DataFrame, left: str, right: str, dim: int) -> np.ndarray:
+    """Sums of left_i * right_j over all rows, dim by dim."""
+    cells = df.select(F.posexplode(left).alias("i", "__x"), right).select("i", F.transform(right, lambda b: b * F.col("__x")).alias("row"))
+    found = {r["i"]: r["s"].toArray() for r in cells.groupBy("i").agg(Summarizer.sum(array_to_vector("row")).alias("s")).collect()}
+    return np.array([found.get(i, np.zeros(dim)) for i in range(dim)])
+
+
+def _turned(df: DataFrame, turn: np.ndarray) -> DataFrame:
+    """(token, vector times the matrix)."""
+    columns = [F.array(*[F.lit(float(v)) for v in turn[:, j]]) for j in range(turn.shape[1])]
+    dot = [F.aggregate(F.zip_with("vector", c, lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x) for c in columns]
+    return df.select("token", F.array(*dot).alias("vector"))
+
+
+def _orthonormal(y: DataFrame, dim: int) -> DataFrame:
+    """The rows with their columns made orthonormal; directions without
+    weight become 0."""
+    values, directions = np.linalg.eigh(_products(y.withColumn("__b", F.col("vector")), "vector", "__b", dim))
+    scale = np.where(values > values.max() * 1e-12, 1.0 / np.sqrt(np.maximum(values, 1e-300)), 0.0)
+    return _turned(y, directions * scale)
+
+
 def encode_batches(
     df: DataFrame,
     text: str,

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -11,6 +10,7 @@ from weakspot.functions import numeric as N
 from weakspot.session import written_once
 
 WEIGHTS = (1, 2, 3, 4)  # fixed values: ensemble weight grid
+MOST_EDGES = 256  # cuts of one bucket at once
 
 
 def f1_of(precision, recall):
@@ -80,20 +80,48 @@ def running_counts(df: DataFrame, order: str, values: list[str], bucket_rows: in
     """Running sums of ``values`` by descending ``order``, no one-task sort.
 
     ``order`` must be distinct. Quantiles cut it into buckets of about
-    ``bucket_rows`` rows; totals of the buckets, a bounded table, give each
-    bucket's start, and windows add up inside the buckets.
+    ``bucket_rows`` rows, at most ``MOST_EDGES`` at once; a bucket that holds
+    more is cut again by its own quantiles, level by level, so no window grows
+    with the table. Totals of the buckets of a level, summed along its parents,
+    give each bucket's start, and windows add up inside the buckets.
     """
-    rows = df.count()
-    buckets = max(1, min(10_000, rows // bucket_rows))
-    edges = df.approxQuantile(order, [i / buckets for i in range(1, buckets)], 0.1 / buckets) if buckets > 1 else []
-    splits = [float("-inf"), *(sorted(set(edges)) or [0.0]), float("inf")]
-    bucketed = Bucketizer(splits=splits, inputCol=order, outputCol="__b").transform(df)
-    totals = bucketed.groupBy("__b").agg(*[F.sum(v).alias(f"__t_{v}") for v in values])
-    earlier = W.partitionBy().orderBy(F.desc("__b")).rowsBetween(W.unboundedPreceding, -1)
-    starts = totals.select("__b", *[F.coalesce(F.sum(f"__t_{v}").over(earlier), F.lit(0)).alias(f"__s_{v}") for v in values])
-    inside = W.partitionBy("__b").orderBy(F.desc(order)).rowsBetween(W.unboundedPreceding, W.currentRow)
-    joined = bucketed.join(F.broadcast(starts), "__b")
-    return joined.select(*df.columns, *[(F.col(f"__s_{v}") + F.sum(v).over(inside)).alias(f"cum_{v}") for v in values])
+    kept = [F.col(f"`{c}`") for c in df.columns]
+    held = df.withColumn("__p", F.array(F.lit(0)))
+    level = 0
+    while True:
+        sizes = held.groupBy("__p").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > bucket_rows)
+        crowded = sizes.select("__p", F.least(F.ceil(F.col("n") / bucket_rows), F.lit(MOST_EDGES)).cast("int").alias("__k"))
+        if crowded.isEmpty():
+            break
+        # a sketch for each crowded bucket; its quantiles are the next cuts
+        marked = attach_small(held, crowded, ["__p"], ["__k"])
+        shares = F.array(*[F.lit(i / MOST_EDGES) for i in range(1, MOST_EDGES)])
+        cuts = marked.filter("__k IS NOT NULL").groupBy("__p").agg(
+            F.percentile_approx(order, shares, 10 * MOST_EDGES).alias("__q"), F.first("__k").alias("__k"))
+        cuts = cuts.select("__p", F.array_distinct(F.filter("__q", lambda q, i: ((i + 1) * F.col("__k")) % MOST_EDGES < F.col("__k"))).alias("__q"))
+        cut = attach_small(held, written_once(cuts, "cuts"), ["__p"], ["__q"])
+        part = F.when(F.col("__q").isNull(), F.lit(0)).otherwise(F.size(F.filter("__q", lambda q: q < F.col(order))))
+        held = written_once(cut.withColumn("__p", F.concat("__p", F.array(part))).drop("__q"), "buckets")
+        level += 1
+    totals = written_once(held.groupBy("__p").agg(*[F.sum(v).alias(f"__t_{v}") for v in values]), "totals")
+    starts = totals.select("__p", *[F.lit(0).alias(f"__s_{v}") for v in values])
+    for depth in range(level, 0, -1):
+        # what lies above a bucket among its siblings, added for every level of its path
+        parent, own = F.slice("__p", 1, depth), F.get("__p", F.lit(depth))
+        sums = totals.groupBy(parent.alias("__parent"), own.alias("__own")).agg(*[F.sum(f"__t_{v}").alias(v) for v in values])
+        above = W.partitionBy("__parent").orderBy(F.desc("__own")).rowsBetween(W.unboundedPreceding, -1)
+        before = sums.select("__parent", "__own", *[F.coalesce(F.sum(v).over(above), F.lit(0)).alias(f"__a_{v}") for v in values])
+        starts = (starts.withColumns({"__parent": parent, "__own": own}).join(before, ["__parent", "__own"])
+                  .select("__p", *[(F.col(f"__s_{v}") + F.col(f"__a_{v}")).alias(f"__s_{v}") for v in values]))
+    inside = W.partitionBy("__p").orderBy(F.desc(order)).rowsBetween(W.unboundedPreceding, W.currentRow)
+    joined = held.join(starts, "__p")
+    return joined.select(*kept, *[(F.col(f"__s_{v}") + F.sum(v).over(inside)).alias(f"cum_{v}") for v in values])
+
+
+def attach_small(rows: DataFrame, groups: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
+    """Left join to groups that are few because each holds many rows; Spark
+    broadcasts them when its own measure says that they fit."""
+    return rows.join(groups.select(*keys, *values), keys, "left").select(*rows.columns, *values)
 
 
 def pr_curve(scored: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
