@@ -88,6 +88,19 @@ def test_one_hot_of_null(spark):
     assert {(r.row_id, *r.one_hot.toArray()) for r in vec} == {(1, 0, 1), (2, 0, 0), (3, 1, 0)}
 
 
+def test_one_hot_of_many_categories(spark):
+    rows = spark.range(20_000).select(F.col("id").alias("row_id"), F.format_string("v%05d", F.col("id") * 7919 % 20_000).alias("c"),
+                                      F.when(F.col("id") % 2 == 0, "even").alias("d"))
+    made, places = features.one_hot_vector(rows.repartition(6), ["c", "d"])
+    assert places.count() == 20_001 and places.agg(F.max("pos")).first()[0] == 20_000
+    first = {r.row_id: r.one_hot for r in made.filter("row_id IN (0, 1, 19999)").collect()}
+    for i, v in first.items():
+        want = {int(i * 7919 % 20_000)} | ({20_000} if i % 2 == 0 else set())
+        assert v.size == 20_001 and set(v.indices.tolist()) == want and set(v.values) == {1.0}
+    none, places = features.one_hot_vector(spark.createDataFrame([(1, None)], "row_id int, c string"), ["c"])
+    assert none.first().one_hot.size == 0 and places.count() == 0
+
+
 def test_wide_one_hot_refuses_what_it_cannot_hold(spark, monkeypatch):
     monkeypatch.setattr(features, "MAX_WIDE_COLUMNS", 3)
     with pytest.raises(ValueError, match="one_hot_vector"):

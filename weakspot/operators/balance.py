@@ -72,10 +72,12 @@ def oversample(df: DataFrame, row_key: str = "row_id", label: str = "label", see
 
 def smote_draws(
     df: DataFrame, row_key: str = "row_id", vector: str = "embedding", label: str = "label",
-    k: int = C.SMOTE_NEIGHBOURS, seed: int = C.SAMPLE_SEED, block_rows: int = 512,
+    k: int = C.SMOTE_NEIGHBOURS, seed: int = C.SAMPLE_SEED, block_rows: int = 512, search=None,
 ) -> DataFrame:
     """Synthetic points: (draw, base, neighbour, step, vector, label).
 
+    ``search`` may be ``graph.neighbour_graph`` where the exact search is too much.
+
     A draw picks a minority row and one of its k nearest minority rows, and
     lies at a random step on the way from one to the other. Rows and their
     neighbours form numbered edges, so a draw is one join on its edge.
@@ -89,7 +91,7 @@ def smote_draws(
                .select(row_key, F.col(vector).cast("array<double>").alias("__v"))
                .withColumn("__order", order_key(seed, row_key)))
     ranked = with_rank(members, "__order").drop("__order")
-    near = exact_neighbours(members, k, row_key, "__v", block_rows)
+    near = search(members, k, row_key, "__v") if search else exact_neighbours(members, k, row_key, "__v", block_rows)
     ends = members.select(F.col(row_key).alias("neighbour"), F.col("__v").alias("__end"))
     edges = (lookup_join(near.drop("distance"), ends, "neighbour", row_key)
              .join(ranked, row_key)
@@ -106,25 +108,25 @@ def smote_draws(
 
 def smote(
     df: DataFrame, row_key: str = "row_id", vector: str = "embedding", label: str = "label",
-    k: int = C.SMOTE_NEIGHBOURS, seed: int = C.SAMPLE_SEED, block_rows: int = 512,
+    k: int = C.SMOTE_NEIGHBOURS, seed: int = C.SAMPLE_SEED, block_rows: int = 512, search=None,
 ) -> DataFrame:
     """Originals and synthetic minority points: (row_id text, vector, label)."""
     kind = df.schema[label].dataType
     real = df.select(F.col(row_key).cast("string").alias(row_key), F.col(vector).cast("array<double>").alias(vector), label)
-    made = smote_draws(df, row_key, vector, label, k, seed, block_rows).select(
+    made = smote_draws(df, row_key, vector, label, k, seed, block_rows, search).select(
         F.concat(F.lit("smote:"), F.col("draw").cast("string")).alias(row_key), vector, F.col(label).cast(kind).alias(label))
     return real.unionByName(made)
 
 
 def tomek_links(
-    df: DataFrame, row_key: str = "row_id", vector: str = "embedding", label: str = "label", block_rows: int = 512
+    df: DataFrame, row_key: str = "row_id", vector: str = "embedding", label: str = "label", block_rows: int = 512, search=None
 ) -> DataFrame:
     """(a, b): rows of different classes that are each other's nearest.
 
     Both ends of a mutual pair write the same ordered pair, so counting
     pairs finds them and a row that is nearest to many is no hot key.
     """
-    nearest = exact_neighbours(df, 1, row_key, vector, block_rows)
+    nearest = search(df, 1, row_key, vector) if search else exact_neighbours(df, 1, row_key, vector, block_rows)
     labelled = nearest.join(df.select(row_key, label), row_key)
     return (labelled.groupBy(F.least(row_key, "neighbour").alias("a"), F.greatest(row_key, "neighbour").alias("b"))
             .agg(F.count(F.lit(1)).alias("n"), F.min(label).alias("lo"), F.max(label).alias("hi"))
@@ -132,20 +134,20 @@ def tomek_links(
 
 
 def remove_tomek(df: DataFrame, row_key: str = "row_id", vector: str = "embedding", label: str = "label",
-                 block_rows: int = 512) -> DataFrame:
+                 block_rows: int = 512, search=None) -> DataFrame:
     """Without both rows of every link."""
-    links = tomek_links(df, row_key, vector, label, block_rows)
+    links = tomek_links(df, row_key, vector, label, block_rows, search)
     ends = links.select(F.explode(F.array("a", "b")).alias(row_key))
     return df.join(ends, row_key, "left_anti")
 
 
 def smote_tomek(df: DataFrame, row_key: str = "row_id", vector: str = "embedding", label: str = "label",
-                k: int = C.SMOTE_NEIGHBOURS, seed: int = C.SAMPLE_SEED, block_rows: int = 512) -> DataFrame:
+                k: int = C.SMOTE_NEIGHBOURS, seed: int = C.SAMPLE_SEED, block_rows: int = 512, search=None) -> DataFrame:
     """Synthetic points added, then every link removed."""
     from weakspot.session import written_once
 
-    grown = written_once(smote(df, row_key, vector, label, k, seed, block_rows), "smote")
-    return remove_tomek(grown, row_key, vector, label, block_rows)
+    grown = written_once(smote(df, row_key, vector, label, k, seed, block_rows, search), "smote")
+    return remove_tomek(grown, row_key, vector, label, block_rows, search)
 
 
 def class_weight(label: str, ratio: float) -> Column:

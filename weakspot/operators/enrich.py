@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from weakspot import constants as C
 from weakspot.functions import text as X
 from weakspot.operators.spread import join_group_values, lookup_join
+from weakspot.session import written_once
 from weakspot.sources.tables import require_columns
 
 DUPLICATE_KEYS = ["code_key", "__key2"]
@@ -32,23 +33,25 @@ def code_features(df: DataFrame) -> DataFrame:
 def duplicate_counts(df: DataFrame, row_key: str = "row_id") -> DataFrame:
     """Rows for the same year, the same code, and the same code and year.
 
-    All three come from one pre-aggregated count by (code, year). A code
-    has at most 10,000 four-digit years, so its years fit one map, and one
-    join on the code attaches two of the counts; the yearly totals are
-    broadcast under the same bound. Only codes seen more than once enter
-    the join. A row with NULL year has NULL year counts. The text itself is
-    shuffled only when the caller keeps it; drop ``code`` first where the
-    counts are all that is wanted.
+    All three come from one pre-aggregated count by (code, year), written
+    once. A code has at most 10,000 four-digit years, so its years fit one map,
+    and one join on the code attaches two of the counts; the yearly totals are
+    broadcast under the same bound. Only codes seen more than once enter the
+    join. A row with NULL year has NULL year counts.
+
+    Without ``code`` the derived rows are written first, so the text behind
+    them is scanned once. The text itself is shuffled only when the caller
+    keeps it; drop it first where the counts are all that is wanted.
     """
     year = F.col("cve_year")
-    pairs = df.filter(F.col("code_key").isNotNull()).groupBy(*DUPLICATE_KEYS, "cve_year").agg(
-        F.count(F.lit(1)).alias("n"))
+    if "code" not in df.columns:
+        df = written_once(df, "derived")
+    pairs = written_once(df.groupBy(*DUPLICATE_KEYS, "cve_year").agg(F.count(F.lit(1)).alias("n")), "pairs")
     per_year = F.map_from_entries(F.collect_list(F.when(year.isNotNull(), F.struct("cve_year", "n"))))
-    repeated = (pairs.groupBy(*DUPLICATE_KEYS)
+    repeated = (pairs.filter(F.col("code_key").isNotNull()).groupBy(*DUPLICATE_KEYS)
                 .agg(F.sum("n").alias("__dups"), per_year.alias("__years"))
                 .filter(F.col("__dups") > 1))
-    years = (df.filter(year.isNotNull()).groupBy("cve_year")
-             .agg(F.count(F.lit(1)).alias("year_count")))
+    years = pairs.filter(year.isNotNull()).groupBy("cve_year").agg(F.sum("n").alias("year_count"))
     joined = join_group_values(
         df.join(F.broadcast(years), "cve_year", "left"), repeated,
         keys=DUPLICATE_KEYS, values=["__dups", "__years"], size="__dups", row_key=row_key,

@@ -6,7 +6,7 @@ import math
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import (
-    ElementwiseProduct, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler, VectorSlicer,
+    ElementwiseProduct, OneHotEncoder, StandardScaler, VectorAssembler, VectorSlicer,
 )
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import Vectors
@@ -18,6 +18,7 @@ from weakspot import constants as C
 from weakspot.functions import numeric as N
 from weakspot.functions import text as X
 from weakspot.operators.spread import lookup_join
+from weakspot.session import written_once
 
 MAX_WIDE_COLUMNS = 10_000
 
@@ -73,15 +74,53 @@ def one_hot(df: DataFrame, columns: list[str], keep: list[str]) -> tuple[DataFra
     return df.select(*keep, *flags), [f"{c}_{v}" for c, v in pairs]
 
 
-def one_hot_vector(df: DataFrame, columns: list[str], output: str = "one_hot") -> tuple[DataFrame, PipelineModel]:
-    """The same encoding as one sparse vector."""
-    indexed, encoded = [f"{c}__i" for c in columns], [f"{c}__v" for c in columns]
-    indexer = StringIndexer(inputCols=columns, outputCols=indexed, stringOrderType="alphabetAsc",
-                            handleInvalid="keep").fit(df)
-    # "keep" puts NULL last, and dropLast then leaves it without a flag
-    encoder = OneHotEncoder(inputCols=indexed, outputCols=encoded, dropLast=True).fit(indexer.transform(df))
-    model = PipelineModel([indexer, encoder, VectorAssembler(inputCols=encoded, outputCol=output)])
-    return model.transform(df).drop(*indexed, *encoded), model
+def category_places(df: DataFrame, columns: list[str]) -> DataFrame:
+    """(column, value, pos): the place of every one-hot feature, columns in
+    their order, values sorted. A table of any size; nothing is collected but
+    the number of values in each part of the sorted file."""
+    cells = F.array(*[F.struct(F.lit(i).alias("__at"), F.lit(c).alias("column"), F.col(c).cast("string").alias("value"))
+                      for i, c in enumerate(columns)])
+    found = df.select(F.inline(cells)).filter(F.col("value").isNotNull()).distinct().orderBy("__at", "value")
+    # the id counts rows within a part and grows with the part
+    held = written_once(found.withColumn("__id", F.monotonically_increasing_id()), "categories")
+    part = F.shiftright("__id", 33)
+    sizes = {r["part"]: r["n"] for r in held.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    starts, before = [], 0
+    for p in sorted(sizes):
+        starts.append((p, before))
+        before += sizes[p]
+    offsets = df.sparkSession.createDataFrame(starts, "__part long, __start long")
+    within = F.col("__id") - F.shiftleft(F.col("__part"), 33)
+    return (held.withColumn("__part", part).join(F.broadcast(offsets), "__part")
+            .select("column", "value", (F.col("__start") + within).alias("pos")))
+
+
+def one_hot_vector(df: DataFrame, columns: list[str], output: str = "one_hot", row_key: str = "row_id") -> tuple[DataFrame, DataFrame]:
+    """The same encoding as one sparse vector, and the places of its features.
+
+    Places are joined to the rows, so the number of categories is not bounded
+    by the driver; a NULL value has no flag.
+    """
+    places = written_once(category_places(df, columns), "places")
+    sizes = {r["column"]: r["n"] for r in places.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()}
+    kept, before, flags = df.columns, 0, []
+    for c in columns:
+        size = sizes.get(c, 0)
+        if not size:
+            continue
+        own = places.filter(F.col("column") == c).select(F.col("value").alias("__value"), (F.col("pos") - before).alias("__place"))
+        df = lookup_join(df.withColumn("__value", F.col(c).cast("string")), own, "__value", row_key).drop("__value")
+        # the last of size + 1 values has no flag; NULL takes it
+        attribute = {"ml_attr": {"type": "nominal", "num_vals": size + 1}}
+        df = df.withColumn(f"{c}__i", F.coalesce("__place", F.lit(size)).cast("double").alias("i", metadata=attribute)).drop("__place")
+        flags.append(f"{c}__f")
+        before += size
+    if not flags:
+        return df.withColumn(output, array_to_vector(F.array().cast("array<double>"))), places
+    indexed = [f"{c}__i" for c in columns if c in sizes]
+    model = OneHotEncoder(inputCols=indexed, outputCols=flags, dropLast=True).fit(df)
+    made = VectorAssembler(inputCols=flags, outputCol=output).transform(model.transform(df))
+    return made.select(*kept, output), places
 
 
 def meta_features(
@@ -94,6 +133,20 @@ def meta_features(
     return table.select(row_key, *keep, *[F.col(f"`{n}`") for n in ordered]), ordered
 
 
+def meta_vector(df: DataFrame, min_count: int = C.CWE_MIN_COUNT, row_key: str = "row_id", keep: list[str] = (),
+                output: str = "features") -> tuple[DataFrame, DataFrame]:
+    """``meta_features`` as one sparse vector, for any number of categories,
+    and its names (pos, name)."""
+    ready = numeric_features(collapse_rare(df, "cwe_id", min_count, row_key))
+    encoded, places = one_hot_vector(ready.select(row_key, *keep, *C.NUMERIC_FEATURES, *C.ONE_HOT_COLUMNS), C.ONE_HOT_COLUMNS, "__hot", row_key)
+    numbers = encoded.withColumns({n: N.finite(F.col(n)) for n in C.NUMERIC_FEATURES})
+    made = VectorAssembler(inputCols=["__hot", *C.NUMERIC_FEATURES], outputCol=output).transform(numbers)
+    total = places.count()
+    names = places.select("pos", F.concat_ws("_", "column", "value").alias("name")).unionByName(
+        name_table(df, C.NUMERIC_FEATURES).select((F.col("pos") + total).alias("pos"), "name"))
+    return made.select(row_key, *keep, output), names
+
+
 def feature_names(dim: int, meta: list[str]) -> list[str]:
     return [f"emb_{i}" for i in range(dim)] + list(meta)
 

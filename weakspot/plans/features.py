@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from weakspot import constants as C
 from weakspot.functions import text as X
-from weakspot.operators import balance, embed, enrich, features, metrics, neighbours, sampling
+from weakspot.operators import balance, embed, enrich, features, graph, metrics, neighbours, sampling
 from weakspot.plans import dataset as flow
 from weakspot.plans.code_view import (
     IDS_SQL, NUMBER_SQL, VIEW, VIEW_ENRICHED, VIEW_IDS, VIEW_SQL, ENRICHED_SQL, code_view, strip_sql, with_ids, with_sql,
@@ -98,6 +98,16 @@ def meta_features(spark, sf):
     return wide.select("row_id", F.inline(cells)).filter("value <> 0")
 
 
+@query(with_sql(VIEW_SQL, IDS_SQL, ENRICHED_SQL, _META, _CELLS) + "SELECT row_id, feature, value FROM cells WHERE value <> 0")
+def meta_vector(spark, sf):
+    """The same cells from the sparse vector and its table of names."""
+    numbers = [c for c in C.NUMERIC_FEATURES if c != "cve_number"]
+    rows = written_once(_enriched(spark, sf).select("row_id", "language", "dataset", "cve_id", "cwe_id", *numbers), "enriched")
+    made, names = features.meta_vector(rows, MIN_COUNT)
+    cells = made.select("row_id", F.posexplode(vector_to_array("features")).alias("pos", "value")).filter("value <> 0")
+    return cells.join(names, "pos").select("row_id", F.col("name").alias("feature"), "value")
+
+
 @query(VIEW_ENRICHED + f"""SELECT row_id, label, language, dataset, cast(code_len AS DOUBLE) AS code_len,
   cast(code_lines AS DOUBLE) AS code_lines, coalesce(cast(cve_year AS DOUBLE), -1.0) AS cve_year,
   coalesce(cast(year_count AS DOUBLE), -1.0) AS year_count, cast(code_dup_count AS DOUBLE) AS code_dup_count,
@@ -464,3 +474,13 @@ def attach_embeddings(spark, sf):
     return embed.attach_embeddings(rows, ready).select(
         "row_id", "lang", F.size("embedding").cast("bigint").alias("size"),
         F.round(F.get("embedding", F.lit(0)).cast("double"), 6).alias("head"))
+
+
+@query("SELECT count(*) AS vectors, 5 * count(*) AS edges, true AS enough FROM embeddings")
+def neighbour_graph(spark, sf):
+    """The graph of near neighbours: its edges, and whether it holds at least
+    0.9 of the exact ones."""
+    rows = points(spark, sf)
+    made = written_once(graph.neighbour_graph(rows, 5), "graph")
+    found = graph.recall(made, rows, 5)
+    return made.agg(F.count_distinct("row_id").alias("vectors"), F.count(F.lit(1)).alias("edges")).withColumn("enough", F.lit(found >= 0.9))
