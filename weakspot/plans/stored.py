@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 
 from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from weakspot import constants as C
@@ -14,8 +15,8 @@ from weakspot.models.boosting import Growth
 from weakspot.models.stored import Classifier
 from weakspot.operators import embed, features
 from weakspot.operators.store import VectorStore
-from weakspot.plans import tree_sql
-from weakspot.plans.boosted import _ALL, _sql
+from weakspot.plans import training, tree_sql
+from weakspot.plans.boosted import _ALL, _SPLIT, _sql, split_points
 from weakspot.plans.code_view import with_sql
 from weakspot.plans.features import points, vectors
 from weakspot.plans.registry import query, table
@@ -23,7 +24,7 @@ from weakspot.session import scratch_path, written_once
 
 # --- linear families by accelerated proximal steps in SQL --------------------
 
-_SCALED = """e AS (SELECT vec_id AS row_id, embedding::DOUBLE[] AS v, cast(label = 0 AS INTEGER) AS y, unnest(range(1, 65)) AS pos FROM embeddings),
+_SCALED = """e AS (SELECT row_id, v, y, unnest(range(1, 65)) AS pos FROM {}),
   x AS MATERIALIZED (SELECT row_id, y, list((v[pos] - m) / s ORDER BY pos) AS x FROM (
     SELECT *, avg(v[pos]) OVER (PARTITION BY pos) AS m, stddev_pop(v[pos]) OVER (PARTITION BY pos) AS s FROM e) GROUP BY row_id, y),
   n AS (SELECT count(*) AS n, avg(y) AS mean FROM x)"""
@@ -49,11 +50,13 @@ _SVM = _descent("svm", "x", "-2.0 * 0.01 * (2 * y - 1) * greatest(1.0 - (2 * y -
 _LOGIT = _descent("logit", "x", "(1.0 / (1.0 + exp(-dot)) - y) / n", "1.0", "CASE WHEN pos = 65 THEN 0.0 ELSE 1.0 / n END", 1500)
 
 
-@query("WITH RECURSIVE " + ",\n  ".join([_SCALED, _LASSO, _ELASTIC, _SVM, _LOGIT]) + """
-SELECT 'emb_' || (pos - 1) AS feature, cast(abs(l.w[pos]) > 1e-5 AS INTEGER) AS lasso, cast(abs(e.w[pos]) > 1e-5 AS INTEGER) AS elastic_net,
+_VOTED = """votes AS (SELECT 'emb_' || (pos - 1) AS feature, cast(pos - 1 AS INTEGER) AS pos, cast(abs(l.w[pos]) > 1e-5 AS INTEGER) AS lasso, cast(abs(e.w[pos]) > 1e-5 AS INTEGER) AS elastic_net,
   cast(abs(s.w[pos]) > 1e-5 AS INTEGER) AS svm, cast(abs(g.w[pos]) > 1e-5 AS INTEGER) AS logistic
 FROM (SELECT unnest(range(1, 65)) AS pos), (SELECT w FROM lasso WHERE k = 400) l, (SELECT w FROM elastic WHERE k = 400) e,
-  (SELECT w FROM svm WHERE k = 400) s, (SELECT w FROM logit WHERE k = 1500) g""")
+  (SELECT w FROM svm WHERE k = 400) s, (SELECT w FROM logit WHERE k = 1500) g)"""
+
+
+@query(_sql(_ALL, _SCALED.format("p"), _LASSO, _ELASTIC, _SVM, _LOGIT, _VOTED) + "SELECT feature, lasso, elastic_net, svm, logistic FROM votes")
 def linear_votes(spark, sf):
     """Votes of the four sparse linear families on scaled features."""
     rows = vectors(spark, sf)
@@ -67,6 +70,26 @@ def linear_votes(spark, sf):
     return made.select("feature", *[N.large_enough(n, C.COEFFICIENT_FLOOR).alias(n) for n in names])
 
 
+@query(_sql(_SPLIT, _SCALED.format("train"), _LASSO, _ELASTIC, _SVM, _LOGIT, _VOTED, """ranked AS (SELECT feature, pos, lasso + elastic_net + svm + logistic AS votes,
+    row_number() OVER (ORDER BY lasso + elastic_net + svm + logistic DESC, feature) - 1 AS place FROM votes)""")
+       + """SELECT CASE part WHEN 'train' THEN 'train' ELSE 'test' END AS split, feature, cast(r.place AS INTEGER) AS pos, cast(votes AS BIGINT) AS votes,
+  count(*) AS rows, round(sum(v[r.pos + 1]), 4) AS total, cast(sum(y) AS BIGINT) AS positives FROM split, ranked r WHERE votes >= 3 GROUP BY ALL""")
+def stored_selection(spark, sf):
+    """Votes of the linear families on the train part, stored with the winners
+    and both parts cut to them, and read back: names, places, votes and sums."""
+    rows = split_points(spark, sf).withColumn("features", array_to_vector(F.col("embedding").cast("array<double>"))).drop("embedding")
+    train, test = rows.filter("split = 'train'").drop("split"), rows.filter("split <> 'train'").drop("split")
+    path = scratch_path(spark, "selection")
+    training.select_features(train, test, features.feature_names(64, []), 3, estimators.linear_voters(train.count()), path)
+    back = spark.read.parquet(f"{path}/selected")
+    names = features.name_table(back, features.names_of(back))
+    votes = spark.read.parquet(f"{path}/winners").select(F.col("feature").alias("name"), "votes")
+    cells = back.select("split", "label", F.posexplode("features").alias("pos", "x"))
+    sums = cells.groupBy("split", "pos").agg(F.count(F.lit(1)).alias("rows"), F.round(F.sum(F.col("x").cast("double")), 4).alias("total"),
+                                             F.sum("label").alias("positives"))
+    return sums.join(names, "pos").join(votes, "name").select("split", F.col("name").alias("feature"), "pos", F.col("votes").cast("long").alias("votes"), "rows", "total", "positives")
+
+
 # --- stored models ----------------------------------------------------------
 
 STORED = Growth(rounds=30, depth=3, rate=0.3)

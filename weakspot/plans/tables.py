@@ -211,13 +211,21 @@ def roundtrip_parquet(spark, sf):
     return tables.read_parquet(spark, path, ["row_id", "code", "label", "language"])
 
 
-@query(VIEW + "SELECT row_id, language, num_raw, n_chars FROM v")
+@query(VIEW + "SELECT row_id, language, nullif(num_raw, 'n/a') AS num_raw, n_chars FROM v")
 def csv_to_parquet(spark, sf):
-    rows = code_view(spark, sf, label=False).select("row_id", "language", F.col("num_raw"), "n_chars", "code")
+    """A cell ``n/a`` is missing after the way through CSV."""
+    rows = code_view(spark, sf, label=False).select("row_id", "language", "num_raw", "n_chars", "code")
     csv, parquet = scratch_path(spark, "csv"), scratch_path(spark, "parquet")
-    tables.write_csv(rows.withColumn("num_raw", F.regexp_replace("num_raw", "n/a", "not a number")), csv)
-    back = tables.csv_to_parquet(spark, csv, parquet, rows.schema)
-    return back.select("row_id", "language", F.regexp_replace("num_raw", "not a number", "n/a").alias("num_raw"), "n_chars")
+    tables.write_csv(rows, csv)
+    return tables.csv_to_parquet(spark, csv, parquet, rows.schema).select("row_id", "language", "num_raw", "n_chars")
+
+
+@query("SELECT doc_id, source, n_chars FROM documents WHERE lang = 'en'")
+def named_split(spark, sf):
+    """One split of a staged collection, here by language."""
+    path = scratch_path(spark, "collection")
+    tables.write_parquet(table(spark, sf, "documents").select("doc_id", "source", "n_chars", F.col("lang").alias("split")), path, by=["split"])
+    return tables.read_split(spark, path, "en")
 
 
 # --- counts and profiles ----------------------------------------------------
@@ -344,6 +352,14 @@ def html_description(spark, sf):
     return html.describe_pages(_description_pages(spark, sf), "page_id", "html")
 
 
+@query(with_sql(_BLOCK) + "SELECT page_id, block, description FROM described")
+def html_heading(spark, sf):
+    """The same blocks, nested, next to a heading that names a description."""
+    opened = F.replace("html", F.lit("<article>"), F.lit("<section><h2>Extended description</h2><p>first</p><div><div><div>"))
+    page = F.replace(opened, F.lit("</article>"), F.lit("</div></div></div><div>second</div></section>"))
+    return html.describe_pages(table(spark, sf, "pages").select("page_id", page.alias("html")), "page_id", "html")
+
+
 @query(with_sql(VIEW_SQL, IDS_SQL, _DIMENSION, _BLOCK) + """, wanted AS (SELECT DISTINCT cwe_id FROM ids
     WHERE cwe_id IS NOT NULL AND cwe_id NOT IN (SELECT cwe_id FROM dim)),
   keyed AS (SELECT 'CWE-' || page_id AS cwe_id, description FROM described)
