@@ -40,12 +40,11 @@ RANK = {kind: i for i, kind in enumerate(KINDS)}
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 DOTTED = re.compile(r"[0-9.]+")
-IP = re.compile(r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 URL_TAIL = re.compile(r"://[^\s<>\"'`]+")
 SCHEME = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+.-")
-GLUE = r"[\x20_-]?(?:no\.?|nr\.?|number|id)?[\x20\t]*[:=#]?[\x20\t]*[\"']?"
+GLUE = r"[\x20_-]?(?:no\.?|nr\.?|number|id)?[\x20\t]*+(?:[:=#][\x20\t]*+)?[\"']?"
 ACCOUNT = re.compile(GLUE + r"([A-Za-z0-9](?:[\x20-]?[A-Za-z0-9]){5,33})(?![A-Za-z0-9])")
 IBAN = re.compile(GLUE + r"([A-Za-z]{2}[0-9]{2}(?:\x20?[A-Za-z0-9]){10,30})(?![A-Za-z0-9])")
 SECRET = re.compile(r"[\x20\t]*[:=][\x20\t]*[\"']?([A-Za-z0-9+/=_.-]{16,256})(?![A-Za-z0-9+/=_-])")
@@ -71,6 +70,27 @@ def _digits(text: str) -> list[int]:
     return [int(c) for c in text if "0" <= c <= "9"]
 
 
+def _ips(text: str, start: int, end: int) -> Iterator[tuple[str, int, int]]:
+    """Leftmost groups of four numbers with a point between each two, in a
+    stretch of digits and points, cut once at its points: a group that fails
+    is passed over whole, as its pattern has matched."""
+    parts = []
+    at = start
+    for own in text[start:end].split("."):
+        parts.append((at, own))
+        at += len(own) + 1
+    i = 0
+    while i + 3 < len(parts):
+        four = parts[i:i + 4]
+        empty = next((j for j, (_, own) in enumerate(four) if not own), None)
+        if empty is not None:
+            i += empty + 1
+            continue
+        if all(len(own) <= 3 or len(own.lstrip("0")) <= 3 for _, own in four) and all(int(own[-3:]) <= 255 for _, own in four):
+            yield "ip", four[0][0], four[3][0] + len(four[3][1])
+        i += 4
+
+
 def _luhn(digits: list[int]) -> bool:
     doubled = [d * 2 - 9 if d > 4 else d * 2 for d in digits[-2::-2]]
     return (sum(doubled) + sum(digits[-1::-2])) % 10 == 0
@@ -91,8 +111,7 @@ def find(text: str) -> list[tuple[str, int, int]]:
             if at >= ip_done:
                 ip_done = DOTTED.match(text, at).end()
                 if ip_done - at >= 7:
-                    spans += [("ip", m.start(), m.end()) for m in IP.finditer(text, at, ip_done)
-                              if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split("."))]
+                    spans += _ips(text, at, ip_done)
             if at >= card_done:
                 m = CARD.match(text, at)
                 card_done = m.end() if m else at + 1
@@ -175,17 +194,19 @@ def masked(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def digest_spans(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Counts of the base kinds, their digest and all spans as text, for each row."""
+    """Counts of the base kinds, their digest, all spans as text and counts
+    of the added kinds, for each row."""
     kind = docs.schema[key].dataType.simpleString()
     counts = {k: f"n_{k}" for k in BASE_KINDS}
+    added = {k: f"n_{k}" for k in KINDS if k not in counts}
 
     def run(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
             found = [find(t) for t in texts(batch, text)]
             base = [[s for s in f if s[0] in counts] for f in found]
-            yield {key: batch.column(key), **{name: [sum(s[0] == k for s in b) for b in base] for k, name in counts.items()},
+            yield {key: batch.column(key), **{name: [sum(s[0] == k for s in f) for f in found] for k, name in {**counts, **added}.items()},
                    "base_sha256": [hashlib.sha256(joined(b).encode()).hexdigest() for b in base],
                    "spans": [joined(f) for f in found]}
 
-    return map_columns(docs, [key, text], f"`{key}` {kind}, {', '.join(f'{n} long' for n in counts.values())}, "
-                                          "base_sha256 string, spans string", run)
+    longs = lambda names: ", ".join(f"{n} long" for n in names.values())
+    return map_columns(docs, [key, text], f"`{key}` {kind}, {longs(counts)}, base_sha256 string, spans string, {longs(added)}", run)
