@@ -3,6 +3,7 @@
 import hashlib
 import math
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -79,6 +80,28 @@ def test_pii_edges(odd, empty):
     assert pii.find_spans(odd).count() == len(ODD) and pii.masked(odd).columns == odd.columns
 
 
+def test_pii_of_long_runs_is_quick():
+    begin = time.time()
+    for text in ("0" * 1_000_000, "1." * 500_000, " " * 1_000_000, "account" + " " * 1_000_000, "+1" + "(" * 1_000_000, "a" * 1_000_000 + "@",
+                 "0" * 5_000 + ".1.1.1", "@" * 200_000, "token=" + "\t" * 1_000_000):
+        assert [s for s in pii.find(text) if s[0] in pii.BASE_KINDS] == ([("ip", 0, 5_006)] if "1.1.1" in text[4_990:5_010] and text[0] == "0" else [
+            s for s in pii.find(text) if s[0] == "ip"])
+    assert time.time() - begin < 40
+    draw = __import__("random").Random(3)
+    for _ in range(3_000):
+        text = "".join(draw.choice(["1", "25", "256", "0", ".", ".", ".", "..", " ", "300", "0001"]) for _ in range(draw.randrange(30)))
+        assert [s for s in pii.find(text) if s[0] == "ip"] == [s for s in spans_by_pattern(text) if s[0] == "ip"], text
+
+
+def test_broken_markup_ends():
+    begin = time.time()
+    for html in ("<a " + '""' * 10_000, "<a " + "'\"" * 10_000 + "<p>x</p>", "<a href='x" + "y" * 100_000, "<" * 100_000, "<svg" + " '" * 10_000):
+        assert mincut.main_text(html) is not None
+    assert time.time() - begin < 20
+    whole = '<article><p title="a > b" lang=en>This is a long enough sentence for the text of an article, in full.</p></article>'
+    assert mincut.main_text(whole) == "This is a long enough sentence for the text of an article, in full."
+
+
 def test_segments_do_not_change_tokens(docs):
     for text in [r["text"] for r in docs.collect()] + [t[1] or "" for t in ODD] + [" a", "a ", "a  b", "a \n b  c"]:
         assert "".join(segments(text)) == text

@@ -29,9 +29,10 @@ from pyspark.sql import DataFrame
 
 from weakspot.llm.arrow import map_columns, texts
 
+# quoted values are skipped whole; where quotes are not closed a tag ends at the first bracket. No part is tried twice.
 TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|svg|iframe|object|textarea|select|title|head)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>"
-    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*?)>|<[!?][^>]*>", re.S)
+    r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|svg|iframe|object|textarea|select|title|head)\b(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>"
+    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)(?=>)|[^>]*+)>|<[!?][^>]*+>", re.S)
 ATTRIBUTE = re.compile(r"\b(class|id|role|itemprop|aria-label|hidden|style)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
 WORDS = re.compile(r"[A-Za-z][a-z]+|[A-Z]+(?![a-z])|[a-z]+")
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong "
