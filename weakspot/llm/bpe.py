@@ -9,34 +9,38 @@ aggregation over the positions turns ids back into bytes.
 
 A merge table row is a token cut into two tokens in any way, so the same
 pairs merge as when the bytes themselves are looked up in the rank file.
+A step's rows stay for words of at most ``BRIEF``
+bytes, whose shortest list is the last; longer words hold one row each.
 Words beyond ``LONG`` bytes, for which copying a token list at each step
 would be quadratic, follow the same rule with a heap.
 
-A NULL or empty text has no tokens. Distinct words of a task are encoded
-once; results by segment are kept in a bounded cache. Extra columns are
-ignored.
+A NULL or empty text has no tokens. Distinct words of a batch are encoded
+once; results stay in two bounded generations, so words that return are not
+encoded again and words that don't are forgotten. Extra columns are ignored.
 """
 
 from __future__ import annotations
 
 import base64
+import gc
 import hashlib
 import heapq
 from collections.abc import Iterator
 
 import duckdb
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
 from weakspot.llm.arrow import map_columns, pieces, texts
-from weakspot.llm.segments import Cache, segments
+from weakspot.llm.segments import segments
 
 LONG = 1_024
-ENCODE = """
-WITH RECURSIVE step(w, tokens) USING KEY (w) AS (
-    SELECT w, tokens FROM start
-    UNION
+KEPT = 96 << 20  # bytes of a generation of results: keys, ids, decoded bytes and about ENTRY for the objects
+ENTRY = 320
+BRIEF = 32
+CONTRACTED = """
     SELECT s.w, s.tokens[:b.pos - 1] || [b.made] || s.tokens[b.pos + 2:]
     FROM step s JOIN (
         SELECT p.w, min(m.made * 4096 + p.pos) AS best, (best // 4096)::INTEGER AS made, best % 4096 AS pos
@@ -45,11 +49,17 @@ WITH RECURSIVE step(w, tokens) USING KEY (w) AS (
         JOIN merges m ON m.pair = p.a::BIGINT * 1048576 + p.b
         GROUP BY p.w
     ) b ON s.w = b.w
-)
+"""
+ENCODE_BRIEF = f"""
+WITH RECURSIVE step(w, tokens) AS (SELECT w, tokens FROM start UNION ALL {CONTRACTED})
+SELECT w, arg_min(tokens, len(tokens)) AS tokens FROM step GROUP BY w
+"""
+ENCODE = f"""
+WITH RECURSIVE step(w, tokens) USING KEY (w) AS (SELECT w, tokens FROM start UNION {CONTRACTED})
 SELECT w, tokens FROM step
 """
 DECODE = """
-SELECT p.w, array_to_string(any_value(p.tokens), ',') AS ids, string_agg(v.hex, '' ORDER BY p.pos) AS hex
+SELECT p.w, array_to_string(any_value(p.tokens), ',') AS ids, unhex(array_to_string(list(v.hex ORDER BY p.pos), '')) AS raw
 FROM (SELECT w, tokens, unnest(tokens) AS id, generate_subscripts(tokens, 1) AS pos FROM done) p JOIN vocabulary v ON v.id = p.id
 GROUP BY p.w
 """
@@ -73,7 +83,9 @@ class Encoder:
         self.ranks = read_ranks(path)
         self.names = {i: t for t, i in self.ranks.items()}
         self.pattern = regex.compile(pattern)
-        self.cache, self.known = Cache(400_000), Cache(400_000)
+        self.ids, self.raw = {}, {}  # by segment or word
+        self.old: tuple[dict, dict] = {}, {}
+        self.used = 0
         self.db = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "400MB", "temp_directory": ""})
         rows = merge_table(self.ranks)
         merges = pa.table({"pair": pa.array([a * 1048576 + b for a, b, _ in rows], pa.int64()),  # noqa: F841
@@ -81,25 +93,29 @@ class Encoder:
         vocabulary = pa.table({"id": pa.array(list(self.names), pa.int64()), "hex": [t.hex() for t in self.names.values()]})  # noqa: F841
         self.db.execute("CREATE TABLE merges AS SELECT * FROM merges")
         self.db.execute("CREATE TABLE vocabulary AS SELECT * FROM vocabulary")
-        self.bytes = [self.ranks.get(bytes([b])) for b in range(256)]
+        self.bytes = np.array([self.ranks[bytes([b])] for b in range(256)], dtype="int32")
 
-    def words(self, words: list[str]) -> dict[str, tuple[str, bytes]]:
-        """(ids joined by commas, decoded bytes) of each word."""
+    def words(self, words: list[str]) -> None:
+        """Encodes words, then decodes their ids; keeps both."""
         raw = [w.encode() for w in words]
-        short = [i for i, r in enumerate(raw) if len(r) <= LONG]
-        out = {}
-        if short:
-            start = pa.table({"w": pa.array(short, pa.int64()),  # noqa: F841
-                              "tokens": pa.array([[self.bytes[b] for b in raw[i]] for i in short], pa.list_(pa.int32()))})
-            self.db.execute(f"CREATE OR REPLACE TEMP TABLE done AS {ENCODE}")
+        size = np.fromiter(map(len, raw), "int64", len(raw))
+        for low, high, query in ((-1, BRIEF, ENCODE_BRIEF), (BRIEF, LONG, ENCODE)):
+            own = np.flatnonzero((size > low) & (size <= high))
+            if not len(own):
+                continue
+            ends = np.concatenate([[0], np.cumsum(size[own])]).astype("int32")
+            joined = np.frombuffer(b"".join([raw[i] for i in own]), "uint8")
+            start = pa.table({"w": own, "tokens": pa.ListArray.from_arrays(ends, self.bytes[joined])})  # noqa: F841
+            self.db.execute(f"CREATE OR REPLACE TEMP TABLE done AS {query}")
             made = self.db.sql(DECODE).to_arrow_table()
-            for w, ids, hexed in zip(*(made.column(c).to_pylist() for c in ("w", "ids", "hex"))):
-                out[words[w]] = ids, bytes.fromhex(hexed)
-        for w, r in zip(words, raw):
-            if len(r) > LONG:
-                ids = self.heap(r)
-                out[w] = ",".join(map(str, ids)), b"".join(self.names[i] for i in ids)
-        return out
+            names = [words[i] for i in made.column("w").to_pylist()]
+            self.ids.update(zip(names, made.column("ids").to_pylist()))
+            self.raw.update(zip(names, made.column("raw").to_pylist()))
+        for i in np.flatnonzero(size > LONG):
+            ids = self.heap(raw[i])
+            self.ids[words[i]] = ",".join(map(str, ids))
+            self.raw[words[i]] = b"".join(self.names[t] for t in ids)
+        self.used += ENTRY * len(words) + 4 * int(size.sum())
 
     def heap(self, raw: bytes) -> list[int]:
         """The same contraction for one long word in n log n."""
@@ -127,26 +143,36 @@ class Encoder:
 
     def encode(self, own: list[str]) -> Iterator[tuple[str, bytes]]:
         """Each text's ids joined by commas, and the bytes they decode to."""
+        if self.used > KEPT:
+            self.old, self.ids, self.raw, self.used = (self.ids, self.raw), {}, {}, 0
         cut = [segments(t) for t in own]
-        met = set().union(*cut)
-        held = {p: self.cache[p] for p in met if p in self.cache}
-        new = [p for p in met if p not in held]
+        new = self.recall(set().union(*cut))
         if new:
             split = [self.pattern.findall(p) for p in new]
-            wanted = {w for ws in split for w in ws}
-            known = {w: self.known[w] for w in wanted if w in self.known}
-            made = self.words([w for w in wanted if w not in known])
-            for w, m in made.items():
-                self.known.keep(w, m)
-            known |= made
-            for p, ws in zip(new, split):
-                parts = [known[w] for w in ws]
-                held[p] = parts[0] if len(parts) == 1 else (",".join([m[0] for m in parts]), b"".join([m[1] for m in parts]))
-        ids, raw = {p: m[0] for p, m in held.items()}, {p: m[1] for p, m in held.items()}
+            unknown = self.recall(set().union(*split))
+            if unknown:
+                self.words(unknown)
+            ids, raw = self.ids.__getitem__, self.raw.__getitem__
+            for p, words in zip(new, split):
+                if len(words) > 1:  # one word is a segment itself
+                    self.ids[p] = ",".join(map(ids, words))
+                    self.raw[p] = b"".join(map(raw, words))
+                    self.used += ENTRY + 4 * len(p)
+        ids, raw = self.ids.__getitem__, self.raw.__getitem__
         for parts in cut:
-            yield ",".join(map(ids.__getitem__, parts)), b"".join(map(raw.__getitem__, parts))
-        for p in new:
-            self.cache.keep(p, held[p])
+            yield ",".join(map(ids, parts)), b"".join(map(raw, parts))
+
+    def recall(self, wanted: set[str]) -> list[str]:
+        """Takes what the older generation holds over; returns the rest."""
+        ids, raw = self.old
+        missing = []
+        for p in wanted.difference(self.ids):
+            if p in ids:
+                self.ids[p], self.raw[p] = ids[p], raw[p]
+                self.used += ENTRY + 4 * len(p)
+            else:
+                missing.append(p)
+        return missing
 
 
 _ENCODERS: dict[tuple[str, str], Encoder] = {}
@@ -169,7 +195,12 @@ def _encoded(docs: DataFrame, ranks: str, pattern: str, key: str, text: str, fie
         for batch in batches:
             own = texts(batch, text)
             for low, high in pieces([t.encode() for t in own], 4 << 20):
-                yield {key: batch.column(key)[low:high], **make(list(tool.encode(own[low:high])))}
+                gc.disable()  # a million strings in no cycle, which a collection would walk again and again
+                try:
+                    rows = list(tool.encode(own[low:high]))
+                finally:
+                    gc.enable()
+                yield {key: batch.column(key)[low:high], **make(rows)}
 
     return map_columns(docs, [key, text], f"`{key}` {kind}, {fields}", run)
 
