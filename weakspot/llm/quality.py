@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from weakspot.llm import labelled
 from weakspot.llm.arrow import map_columns, pieces, raw_texts
-from weakspot.llm.words import SPACE, Words, _powers, mix
+from weakspot.llm.words import SPACE, Words, _powers, mix, row_sums
 from weakspot.session import written_once
 
 BITS = 18
@@ -122,9 +122,8 @@ class Model:
         out = np.empty(len(texts))
         for low, high in pieces(texts):
             index, bounds = features(texts[low:high])
-            total = np.concatenate([[0.0], np.cumsum(self.weight[index])])
             size = np.maximum(np.diff(bounds), 4)
-            out[low:high] = (total[bounds[1:]] - total[bounds[:-1]]) * (SCALE * 4.0) / size
+            out[low:high] = row_sums(self.weight[index], bounds) * (SCALE * 4.0) / size
         return sigmoid(out + self.weight[-1])
 
 

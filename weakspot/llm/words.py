@@ -11,6 +11,7 @@ from __future__ import annotations
 import numpy as np
 
 BASE = 0x9E3779B97F4A7C55  # odd, so that powers have inverses
+KEPT = (1 << 20) + (1 << 16)
 _POWERS = [np.ones(1, dtype="uint64"), np.ones(1, dtype="uint64")]
 
 SPACE = np.zeros(256, dtype=bool)
@@ -27,13 +28,27 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_POWERS[0]) < n:
-        size = 1 << (n - 1).bit_length()
-        for at, base in enumerate((BASE, pow(BASE, -1, 1 << 64))):
-            steps = np.full(size, base, dtype="uint64")
-            steps[0] = 1
-            _POWERS[at] = np.multiply.accumulate(steps)
-    return _POWERS[0][:n], _POWERS[1][:n]
+    """Powers of the base and of its inverse; tables of a usual piece are kept, longer ones are not."""
+    if len(_POWERS[0]) >= n:
+        return _POWERS[0][:n], _POWERS[1][:n]
+    made = []
+    for base in (BASE, pow(BASE, -1, 1 << 64)):
+        steps = np.full(max(n, KEPT), base, dtype="uint64")
+        steps[0] = 1
+        made.append(np.multiply.accumulate(steps))
+    if n <= KEPT:
+        _POWERS[:] = made
+    return made[0][:n], made[1][:n]
+
+
+def row_sums(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """The sum of each range of values, by itself: what stands around a row
+    does not change a bit of its sum."""
+    out = np.zeros(len(bounds) - 1)
+    full = bounds[1:] > bounds[:-1]
+    if full.any():
+        out[full] = np.add.reduceat(np.asarray(values, dtype="float64"), bounds[:-1][full])
+    return out
 
 
 class Words:
