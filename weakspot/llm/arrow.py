@@ -36,7 +36,7 @@ def map_columns(
     return df.select(*[F.col(f"`{c}`") for c in columns]).mapInArrow(task, kind)
 
 
-def pieces(items: list[bytes], most: int = 2 << 20) -> Iterator[tuple[int, int]]:
+def pieces(items: list[bytes], most: int = 1 << 20) -> Iterator[tuple[int, int]]:
     """Ranges of items with about ``most`` bytes each, so that temporary
     arrays stay small; a longer item is a range of its own."""
     start = size = 0

@@ -9,6 +9,7 @@ segment. Distinct segments are few, so a task encodes each once.
 from __future__ import annotations
 
 import re
+import sys
 
 OTHER_SPACE = re.compile(r"[^\S\x20\n]")
 CUT = re.compile(r"(?<=\S)(?=\x20\S)")
@@ -27,18 +28,27 @@ def segments(text: str) -> list[str]:
     return [head, *[" " + p for p in parts]]
 
 
-class Cache(dict):
-    """Results by segment, bounded in entries and bytes of keys."""
+class Cache:
+    """Results by segment in two generations, bounded in bytes.
 
-    def __init__(self, entries: int = 400_000, size: int = 48 << 20):
-        super().__init__()
-        self.entries, self.size, self.used = entries, size, 0
+    Keys, values and the objects themselves count. A full generation becomes
+    the older one; what is asked for again moves to the younger.
+    """
+
+    def __init__(self, size: int = 32 << 20):
+        self.young, self.old = {}, {}
+        self.size, self.used = size // 2, 0
+
+    def get(self, segment: str):
+        made = self.young.get(segment)
+        if made is None and (made := self.old.get(segment)) is not None:
+            self.keep(segment, made)
+        return made
 
     def keep(self, segment: str, made):
-        """Stores and returns; starts anew when full."""
-        self.used += len(segment)
-        if len(self) >= self.entries or self.used > self.size:
-            self.clear()
-            self.used = len(segment)
-        self[segment] = made
+        """Stores and returns."""
+        if self.used > self.size:
+            self.old, self.young, self.used = self.young, {}, 0
+        self.used += 100 + sys.getsizeof(segment) + sys.getsizeof(made)
+        self.young[segment] = made
         return made
