@@ -7,8 +7,8 @@ import time
 import zlib
 from collections import Counter
 
-import duckdb
 import numpy as np
+import pyarrow as pa
 import public_tokenizers as P
 import pytest
 import tiktoken
@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from weakspot.llm import bpe, hmm, jaccard, labelled, lattice, mincut, packing, pii, quality, topk, toxicity
-from weakspot.llm.segments import segments
+from weakspot.llm.segments import Cache, segments
 
 SF = "/root/testdata/sf0.001"
 DOCS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()),
@@ -133,7 +133,19 @@ def test_bpe_long_word_by_heap(reference):
     tool = bpe.Encoder(P.path("byte_bpe_multi_50k.tiktoken"), P.PATTERN)
     for word in ("ab" * 2_000, "straßeundhaus" * 300):
         assert tool.heap(word.encode()) == reference.encode_ordinary(word)
-        assert tool.words([word])[word][0] == ",".join(map(str, tool.heap(word.encode())))
+        tool.words([word])
+        assert tool.ids[word] == ",".join(map(str, tool.heap(word.encode()))) and tool.raw[word] == word.encode()
+
+
+def test_bpe_generations_do_not_change_ids(reference, monkeypatch):
+    monkeypatch.setattr(bpe, "KEPT", 5_000)
+    tool = bpe.Encoder(P.path("byte_bpe_multi_50k.tiktoken"), P.PATTERN)
+    for i in range(40):
+        own = [f"again and  again, it's word{i % 7} or {i * 37}... ", "", "straße" * 40 + f" end{i // 2}"]
+        for text, (ids, raw) in zip(own, tool.encode(own)):
+            assert ids == ",".join(map(str, reference.encode_ordinary(text))) and raw == text.encode()
+        assert tool.used < 60_000 and len(tool.ids) == len(tool.raw)
+    assert tool.old[0]
 
 
 PAGE = """<html><head><title>T</title><style>p{}</style></head><body><header class="top"><h2>Site name</h2></header>
@@ -385,4 +397,64 @@ def test_fillings_are_the_least_slack():
 
 
 def test_duckdb_is_the_recursion():
-    assert "RECURSIVE" in bpe.ENCODE and duckdb.__version__
+    """Both recursions end where contracting step by step ends."""
+    tool = bpe.Encoder(P.path("byte_bpe_multi_50k.tiktoken"), P.PATTERN)
+    words = [" information", "aaaaaaa", "straße", "\x00\x01", "x", "ab" * 12, "日本語日本語", " internationalisation" * 3]
+    start = tool.db.from_arrow(pa.table({"w": list(range(len(words))), "tokens": pa.array(  # noqa: F841
+        [[int(tool.bytes[b]) for b in w.encode()] for w in words], pa.list_(pa.int32()))}))
+    tool.db.register("start", start)
+    made = [dict(tool.db.execute(q).fetchall()) for q in (bpe.ENCODE_BRIEF, bpe.ENCODE)]
+    for i, word in enumerate(words):
+        parts = [word.encode()[j:j + 1] for j in range(len(word.encode()))]
+        while True:
+            ranked = [(tool.ranks[a + b], j) for j, (a, b) in enumerate(zip(parts, parts[1:])) if a + b in tool.ranks]
+            if not ranked:
+                break
+            j = min(ranked)[1]
+            parts[j:j + 2] = [parts[j] + parts[j + 1]]
+        want = [tool.ranks[p] for p in parts]
+        assert made[0][i] == want and made[1][i] == want
+
+
+def test_scores_do_not_depend_on_the_batch():
+    rng = np.random.default_rng(3)
+    texts = [" ".join(rng.choice(["Word", "other,", "THIRD", "x.", "12"], rng.integers(0, 60))).encode() for _ in range(300)]
+    model = quality.Model(rng.normal(0, 1, (1 << quality.BITS) + 1))
+    whole = model.scores(texts)
+    order = rng.permutation(len(texts))
+    assert (model.scores([texts[i] for i in order]) == whole[order]).all()
+    assert all(model.scores([t])[0] == v for t, v in zip(texts, whole))
+
+
+def test_ftrl_equals_a_plain_loop():
+    texts = [b"good calm words here", b"bad !!! BAD bad", b"calm words again here", b"!!! 12 BAD", b""]
+    rows = [(at, value, y) for (at, value), y in zip(quality.sparse(texts), [1, 0, 1, 0, 1])]
+    size = (1 << quality.BITS) + 1
+    z, n = quality.follow(rows, np.zeros(size), np.zeros(size))
+    sums, squares = {}, {}
+
+    def leader(i):
+        if abs(sums.get(i, 0.0)) <= quality.L1:
+            return 0.0
+        step = (quality.BETA + math.sqrt(squares.get(i, 0.0))) / quality.ALPHA + quality.L2
+        return -(sums[i] - math.copysign(quality.L1, sums[i])) / step
+
+    for at, value, y in rows:
+        cells = {**dict(zip(at.tolist(), value.tolist())), size - 1: 1.0}
+        w = {i: leader(i) for i in cells}
+        p = 1 / (1 + math.exp(-sum(w[i] * v for i, v in cells.items())))
+        for i, v in cells.items():
+            g, before = (p - y) * v, squares.get(i, 0.0)
+            sums[i] = sums.get(i, 0.0) + g - (math.sqrt(before + g * g) - math.sqrt(before)) / quality.ALPHA * w[i]
+            squares[i] = before + g * g
+    used = sorted(sums)
+    assert np.allclose(z[used], [sums[i] for i in used]) and np.allclose(n[used], [squares[i] for i in used])
+    assert np.count_nonzero(n) <= len(used)
+
+
+def test_segment_cache_is_bounded():
+    cache = Cache(20_000)
+    for i in range(2_000):
+        cache.keep(f"rare{i}", b"12345678")
+        assert cache.get("often") or cache.keep("often", b"x")
+    assert cache.get("often") == b"x" and cache.get("rare0") is None and len(cache.young) + len(cache.old) < 200
