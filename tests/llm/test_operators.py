@@ -246,6 +246,33 @@ def test_hmm_recursions_by_enumeration():
     assert np.allclose(model.logs(sequences), want_logs) and np.allclose(move, want_move) and np.allclose(emit, want_emit)
 
 
+@pytest.mark.parametrize("piece", [1, 2, 7, 64])
+def test_hmm_borders_of_pieces_change_nothing(piece):
+    rng = np.random.default_rng(piece)
+    model = hmm.Hmm(rng.dirichlet(np.ones(3)), rng.dirichlet(np.ones(3), 3), rng.dirichlet(np.ones(9), 3).T)
+    sequences = [rng.integers(0, 9, n).astype("<u2") for n in (1, 2, 7, 8, 64, 65, 300, 0, 14)]
+    for whole, cut in zip(model.expected(sequences, 10_000), model.expected(sequences, piece)):
+        assert np.allclose(whole, cut, rtol=1e-9)
+
+
+def test_most_frequent_words(spark):
+    rows = [((i * 2654435761 << 31) % 2**64 - 2**63, i % 5, i % 7, 1 + i % 9) for i in range(3_000)]
+    counts = spark.createDataFrame(rows, "word long, kind int, n long, seen long")
+    for most in (1, 100, 700, 2_999, 3_000, 5_000):
+        made = [r["seen"] for r in hmm.most_frequent(counts, most).collect()]
+        assert sorted(made, reverse=True) == sorted((r[3] for r in rows), reverse=True)[:most]
+
+
+def test_hmm_words_outside_the_tables(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    fold = labelled.fold("doc_id", 7) == 2
+    whole = {r["doc_id"]: r for r in hmm.score(docs, fold, sample_rounds=1).collect()}
+    monkeypatch.setattr(hmm, "SHARED", 300)
+    for r in hmm.score(docs, fold, sample_rounds=1).collect():
+        same = whole[r["doc_id"]]
+        assert r["n_known"] == same["n_known"] and abs(r["base_score"] - same["base_score"]) < 1e-6
+
+
 def brute_components(texts, width, percent):
     sets = []
     for text in texts:
