@@ -7,9 +7,9 @@ uses. Mean, greatest and summed savings are turned into a probability by a
 logistic calibration on labelled rows that the dictionaries have not seen.
 
 For a match to mean a shared word and not a shared syllable, words are
-spelled as 8-byte codes of their stem (the first bytes, lower case). Words
-that everybody uses are left out of windows, and each class's training
-windows hold what is typical of that class. A fixed marker behind each window
+spelled as 8-byte codes of the whole word in lower case. Every word of a text
+is in a window; each class's training windows hold what is typical of that
+class. A fixed marker behind each window
 that both dictionaries know keeps the compressor from storing short windows
 raw, where a difference would be lost.
 
@@ -38,21 +38,18 @@ from weakspot.llm.words import Words, mix
 from weakspot.session import written_once
 
 SAMPLE_ROWS = 4_000      # labelled rows of each label that the fit may use
-STEM = 7                 # bytes
 WINDOW = 16              # words
-BACKGROUND = 4_000       # most frequent stems of ordinary text, left out
 LEAST_DOCS, RATIO = 6, 8.0
-VOCABULARY = 16_384      # stems typical of a class
+VOCABULARY = 16_384      # words typical of a class
 TRAINING_WINDOWS = 30_000
 DICTIONARY = 12_288      # bytes
-LEVEL = 3
+LEVEL = 5
 MARKER = mix(np.arange(12, dtype="uint64") + np.uint64(991)).tobytes()
 
 
-def stems(own: list[str]) -> tuple[np.ndarray, np.ndarray]:
+def word_codes(own: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Codes of the runs of letters, bounds."""
     words = Words([t.lower().encode() for t in own], ~LETTER)
-    words.ends = np.minimum(words.ends, words.starts + STEM)
     return words.hashes(), words.bounds
 
 
@@ -78,8 +75,8 @@ def train_dictionary(samples: list[bytes]) -> bytes:
 class Savings:
     """Per text: windows, mean, greatest and summed bytes saved by the toxic dictionary."""
 
-    def __init__(self, toxic: bytes, ordinary: bytes, background: np.ndarray):
-        self.parts = (toxic, ordinary, background)
+    def __init__(self, toxic: bytes, ordinary: bytes):
+        self.parts = (toxic, ordinary)
         self.tools = None
 
     def __getstate__(self):
@@ -91,7 +88,7 @@ class Savings:
     def _compressors(self):
         if self.tools is None:
             self.tools = []
-            for content in self.parts[:2]:
+            for content in self.parts:
                 held = zstandard.ZstdCompressionDict(content)
                 held.precompute_compress(level=LEVEL)
                 self.tools.append(zstandard.ZstdCompressor(level=LEVEL, dict_data=held, write_content_size=False, write_dict_id=False))
@@ -100,10 +97,9 @@ class Savings:
     def of(self, own: list[str]) -> np.ndarray:
         toxic, ordinary = self._compressors()
         out = np.zeros((len(own), 4))
-        codes, bounds = stems(own)
-        rare = ~_among(codes, self.parts[2])
+        codes, bounds = word_codes(own)
         for i, (low, high) in enumerate(zip(bounds[:-1], bounds[1:])):
-            cut = [w + MARKER for w in windows(codes[low:high][rare[low:high]])]
+            cut = [w + MARKER for w in windows(codes[low:high])]
             if cut:
                 saved = np.array([len(ordinary.compress(w)) - len(toxic.compress(w)) for w in cut], dtype="float64")
                 out[i] = len(cut), saved.mean(), saved.max(), saved.sum()
@@ -158,7 +154,7 @@ def fit(docs: DataFrame, labels: DataFrame, train, label: str = "toxic", key: st
         for batch in batches:
             own = texts(batch)
             for low, high in pieces([t.encode() for t in own]):
-                codes, bounds = stems(own[low:high])
+                codes, bounds = word_codes(own[low:high])
                 yield {"y": batch.column("y")[low:high], "part": batch.column("part")[low:high], "text": own[low:high],
                        "codes": [codes[a:b].view("int64") for a, b in zip(bounds[:-1], bounds[1:])]}
 
@@ -166,10 +162,8 @@ def fit(docs: DataFrame, labels: DataFrame, train, label: str = "toxic", key: st
     coded = written_once(map_columns(parted, ["text", "y", "part"], "y int, part int, text string, codes array<long>", encode),
                          "toxicity-sample")
     seen = coded.filter("part > 0")
-    used = seen.select("y", F.explode("codes").alias("code")).groupBy("code").agg(F.sum(F.expr("bigint(y = 0)")).alias("n"))
     spread = (seen.select("y", F.explode(F.array_distinct("codes")).alias("code")).groupBy("code")
               .agg(F.sum(F.expr("bigint(y = 1)")).alias("t"), F.sum(F.expr("bigint(y = 0)")).alias("o")))
-    background = used.orderBy(F.desc("n"), "code").limit(BACKGROUND).select("code")
     sizes = {r["y"]: r["n"] for r in seen.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     even = F.lit(sizes.get(0, 1) / max(1, sizes.get(1, 1)))  # classes as if equally large
     typical = {1: spread.filter((F.col("t") >= LEAST_DOCS) & (F.col("t") * even >= RATIO * (F.col("o") + 0.5))).orderBy(F.desc("t"), "code"),
@@ -187,7 +181,7 @@ def fit(docs: DataFrame, labels: DataFrame, train, label: str = "toxic", key: st
         made = map_columns(seen.filter(F.col("y") == y), ["codes"], "window binary", cut)
         taken = made.orderBy(F.xxhash64("window"), "window").limit(TRAINING_WINDOWS).toArrow().to_pandas()["window"]
         content[y] = train_dictionary([bytes(w) for w in taken])
-    savings = Savings(content[1], content[0], table(background))
+    savings = Savings(content[1], content[0])
     shared = docs.sparkSession.sparkContext.broadcast(savings)
 
     def measure(batches: Iterator[pa.RecordBatch]):
