@@ -239,3 +239,31 @@ def test_a_range_counts_an_indel_once():
     assert found["indel"] == 1
     rows = list(variants.scan([(False, True, 1, 9), (True, True, 2, 5), (True, False, 3, 9)]))
     assert rows == [(2, 2, (9, 1)), (3, 1, (5, 2)), (1, 1, (5, 2))]
+
+
+def test_savings_are_those_of_each_window_of_whole_words():
+    """Against two plain compress calls a window, built word by word."""
+    import re
+
+    import zstandard
+
+    from weakspot.llm import toxicity
+
+    code = lambda word: toxicity.word_codes([word])[0].tobytes()
+    vocabulary = [f"ordinaryword{'abcdefgh'[i % 8]}{'klmnopqr'[i // 8]}" for i in range(64)]
+    contents = [b"".join(code(w) for w in part) + toxicity.MARKER for part in (vocabulary[:32], vocabulary[32:])]
+    own = ["", " 12 ;", " ".join(vocabulary[:20]), " ".join(vocabulary[20:50]) + ", the The THE", "Ordinarywordak " * 40]
+    found = toxicity.Savings(*contents).of(own)
+    packers = [zstandard.ZstdCompressor(level=toxicity.LEVEL, dict_data=zstandard.ZstdCompressionDict(c), write_content_size=False,
+                                        write_dict_id=False) for c in contents]
+    for text, row in zip(own, found):
+        words = re.findall("[a-z]+", text.lower())
+        saved = []
+        for i in range(0, len(words), toxicity.WINDOW):
+            window = b"".join(code(w) for w in words[i:i + toxicity.WINDOW]) + toxicity.MARKER
+            toxic, ordinary = (len(p.compress(window)) for p in packers)
+            saved.append(ordinary - toxic)
+        expected = [len(saved), np.mean(saved), max(saved), sum(saved)] if saved else [0, 0, 0, 0]
+        assert np.allclose(row, expected)
+    assert code("ordinaryworda") != code("ordinarywordb")
+    assert found[2][3] > 0
