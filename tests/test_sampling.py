@@ -115,6 +115,19 @@ def test_neighbours_with_text_keys_and_few_rows(spark):
     assert neighbours.exact_neighbours(df.limit(1), 2).count() == 0
 
 
+def test_pairs_of_tiles_shuffle_no_vectors(spark):
+    points = cloud(3, 600, 6, 0)
+    df = spark.createDataFrame([(f"k{i:03d}", v.tolist()) for i, v in points.items()], "pid string, vector array<double>")
+    made = neighbours._nearest_points(df, 4, 8, 42)
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" in plan and not any("Exchange" in line and "data" in line for line in plan.splitlines())
+    found = {}
+    for r in made.collect():
+        found.setdefault(r.pid, []).append((r.distance, r.other))
+    want = brute(points, 4)
+    assert {i: [j for _, j in sorted(own)] for i, own in found.items()} == {f"k{i:03d}": [f"k{j:03d}" for _, j in own] for i, own in want.items()}
+
+
 def with_labels(spark, points, minority):
     rows = [(i, v.tolist(), int(i < minority)) for i, v in points.items()]
     return spark.createDataFrame(rows, "row_id bigint, embedding array<double>, label int")
