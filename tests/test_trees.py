@@ -2,6 +2,7 @@
 
 import itertools
 import math
+import pickle
 
 import duckdb
 import numpy as np
@@ -161,3 +162,17 @@ def test_boosted_search(spark):
         whole = folded.join(weights, "row_id", "left").na.fill(0.0, ["copies"])  # the edges see all rows
         scores.append(metrics.binary_metrics(compare.score(fitted.fit(whole), folded.filter(F.col("fold") == fold))).first().f1)
     assert sum(scores) / 3 == pytest.approx(rows[0].f1)
+
+
+def test_only_splits_reach_the_driver(spark, monkeypatch):
+    """No pass collects sums by bin, in one part or in several."""
+    _, _, df = learnable(spark, 300, 6)
+    found = []
+    measure = boosting.Fits.measure
+    monkeypatch.setattr(boosting.Fits, "measure", lambda self, *a: found.append(measure(self, *a)) or found[-1])
+    one = boosting.HistogramBoosting(boosting.second_order(3, 4), row_key="row_id").fit(df)
+    monkeypatch.setattr(boosting, "BLOCK_CELLS", 100)
+    monkeypatch.setattr(boosting, "PART_CELLS", 400)
+    many = boosting.HistogramBoosting(boosting.second_order(3, 4), row_key="row_id").fit(df.repartition(6))
+    assert [t.sums for t in one.trees] == [t.sums for t in many.trees] and [t.splits for t in one.trees] == [t.splits for t in many.trees]
+    assert found and all(len(pickle.dumps(r)) < 1000 for pass_ in found for r in pass_)
