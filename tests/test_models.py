@@ -314,3 +314,13 @@ def test_scratch_is_cleared(spark):
     assert session.written_once(spark.range(3), "x").count() == 3
     session.clear_scratch(spark)
     assert not __import__("os").path.exists(path.rsplit("/", 1)[0])
+
+
+def test_no_feature_is_chosen(spark, tmp_path):
+    """A selection that no feature wins is stored and read back, with empty vectors."""
+    _, _, df = learnable(spark, 20, 3)
+    cut = features.with_names(features.keep_features(df, []).drop("features").withColumnRenamed("selected", "features"), [])
+    features.write_features(cut.select("row_id", "label", "features").withColumn("split", F.lit("train")), str(tmp_path / "cut"))
+    back = spark.read.parquet(str(tmp_path / "cut"))
+    names = features.name_table(back, features.names_of(back))
+    assert back.filter(F.size("features") == 0).count() == 20 and names.count() == 0 and dict(names.dtypes)["name"] == "string"
