@@ -103,3 +103,14 @@ PAGES = {
 @pytest.mark.parametrize("page", PAGES)
 def test_description_block(page):
     assert block_text(page) == PAGES[page]
+
+
+def test_pages_reach_the_parser_a_few_at_a_time(spark):
+    from weakspot.operators import html
+
+    page = '<div id="Description">first <b>part</b>. second</div>'
+    rows = [(i, page if i % 3 else None if i % 2 else "<p>none</p>") for i in range(200)]
+    made = html.describe_pages(spark.createDataFrame(rows, "page_id long, html string").coalesce(1), "page_id", "html")
+    assert "MapInArrow" in made._jdf.queryExecution().executedPlan().toString() and html.PAGES <= 64
+    got = {r.page_id: (r.block, r.description) for r in made.collect()}
+    assert got == {i: ("first part . second", "first part.") if i % 3 else (None, None) for i in range(200)}
