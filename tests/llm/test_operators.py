@@ -405,6 +405,22 @@ def test_packing_covers_every_id_once(spark, docs, empty):
     assert pack(empty).count() == 0
 
 
+def test_packing_encodes_a_text_in_one_call(monkeypatch):
+    tool, fast, special = packing._encoder(P.path("byte_bpe_50k.json"), P.path("byte_bpe_50k.tiktoken"), P.PATTERN)[:3]
+    called = []
+
+    class Counting:
+        def encode_ordinary(self, text):
+            called.append(text)
+            return fast.encode_ordinary(text)
+
+    monkeypatch.setattr(packing, "_encoder", lambda *names: (tool, Counting(), special))
+    own = [r[1] or "" for r in ODD] + [" ".join(f"w{i}x{i * 7}" for i in range(3_000)), "a" * 50_000, " " * 50_000, "\n " * 9_000]
+    want = [np.asarray(tool.encode(t, add_special_tokens=False).ids, dtype="<u4").tobytes() for t in own]
+    assert list(packing.token_bytes(own, "", "", "")) == want
+    assert called == [t for t in own if not any(s in t for s in special)]
+
+
 def test_fillings_are_the_least_slack():
     rng = np.random.default_rng(6)
     for _ in range(30):
