@@ -1,6 +1,7 @@
 """Stored models, resumable vectors, pooled and trained token vectors."""
 
 import json
+import re
 
 import numpy as np
 import pytest
@@ -94,3 +95,25 @@ def test_trained_vectors_join_words_of_one_context(spark):
 
     assert min(cosine("red", "green"), cosine("one", "three")) > 0.9 and abs(cosine("red", "two")) < 0.5
     assert embed.train_vectors(df.limit(0)).count() == 0
+
+
+def test_pooled_embedding_by_a_large_table(spark, monkeypatch):
+    """The same vectors by broadcast and by shuffle, by plain sums and by the summarizer, from the front and from whole texts."""
+    from weakspot.operators.embed import VectorTable
+
+    texts = ["a bb a ccc", "bb " * 300 + "ccc", "x" * 5000 + " a", "==" * 900 + "a", " " * 3000 + "a bb", "zz", "", None, "é! a", "a" + " b" * 255 + " ccc"]
+    rows = spark.createDataFrame([*enumerate(texts), (0, "ccc ccc"), (None, "a bb")], "row_id long, code string")
+    vectors = spark.createDataFrame([("a", [1.0, 0.0]), ("bb", [0.0, 2.0]), ("ccc", [4.0, 8.0]), ("==", [16.0, 0.0]), ("!", None), (None, [9.0, 9.0])],
+                                    "token string, vector array<double>")
+    known = {r.token: r.vector for r in vectors.collect() if r.token and r.vector}
+    want: dict = {}
+    for key, text in [*enumerate(texts), (0, "ccc ccc"), (None, "a bb")]:
+        want.setdefault(key, []).extend(known[t] for t in re.findall(r"[A-Za-z_]\w+|\d+|==|!=|<=|>=|\S", text or "")[:256] if t in known)
+    want = {k: [sum(c) / len(v) for c in zip(*v)] for k, v in want.items() if v}
+    for small, width, hot in ((None, 64, 4096), (False, 64, 4096), (False, 64, 2), (False, 1, 2)):
+        monkeypatch.setattr(embed, "PLAIN_WIDTH", width)
+        monkeypatch.setattr(embed, "HOT_TOKENS", hot)
+        if small is not None:
+            monkeypatch.setattr(embed, "is_small", lambda df: False)
+        got = embed.pooled_embedding(rows, VectorTable.of(vectors))
+        assert {r.row_id: r.embedding for r in got.collect()} == want

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -14,9 +15,13 @@ from pyspark.sql import functions as F
 
 from weakspot import constants as C
 from weakspot.functions.text import col
-from weakspot.operators.spread import lookup_join
+from weakspot.operators.spread import is_small, lookup_join
 from weakspot.session import written_once
 
+FRONT = 6  # characters read for each token wanted, before a text is read whole
+HOT_TOKENS = 4096  # a token with a larger share than one in so many is broadcast, so there are fewer
+PLAIN_WIDTH = 64  # widest vectors that are summed by component
+
 
 def mean_pool(hidden, mask) -> Column:
     """Mean of the unmasked token vectors of one text.
@@ -63,26 +68,70 @@ def hashed_embedding(df: DataFrame, text: str = "code", dim: int = C.EMBEDDING_D
     return shares.withColumn(output, vector_to_array("__mean", "float32")).drop("__tokens", "__tf", "__mean")
 
 
-def token_counts(df: DataFrame, key: str, text: str = "code", max_tokens: int | None = C.MAX_TOKENS) -> DataFrame:
-    """(key, token, n) over the first ``max_tokens`` tokens of each text; None: over all."""
-    tokens = F.regexp_extract_all(F.coalesce(F.col(text), F.lit("")), F.lit(C.TOKEN_PATTERN), F.lit(0))
-    used = tokens if max_tokens is None else F.slice(tokens, 1, max_tokens)
-    return df.select(key, F.explode(used).alias("token")).groupBy(key, "token").agg(F.count(F.lit(1)).alias("n"))
+def first_tokens(df: DataFrame, key: str, text: str = "code", max_tokens: int | None = C.MAX_TOKENS) -> DataFrame:
+    """(key, token) for each of the first ``max_tokens`` tokens of each text; None: for all.
+
+    Tokens are taken from the front of a text. All but the last of them are
+    those of the whole text, so only a text whose front has too few is read whole.
+    """
+    found = lambda x: F.regexp_extract_all(x, F.lit(C.TOKEN_PATTERN), F.lit(0))
+    whole = F.coalesce(F.col(text), F.lit(""))
+    if max_tokens is None:
+        return df.select(key, F.explode(found(whole)).alias("token"))
+    reach = FRONT * max_tokens
+    front = df.select(key, whole.alias("__text")).withColumn("__front", found(F.substring("__text", 1, reach)))
+    enough = (F.size("__front") > max_tokens) | (F.char_length("__text") <= reach)
+    used = front.select(key, F.when(enough, F.col("__front")).otherwise(found(F.col("__text"))).alias("__used"))
+    return used.select(key, F.explode(F.slice("__used", 1, max_tokens)).alias("token"))
+
 
+@dataclass(frozen=True)
+class VectorTable:
+    """A written table (token, vector), and what joins with it ask for."""
 
-def pooled_embedding(df: DataFrame, vectors: DataFrame, key: str = "row_id", text: str = "code",
+    rows: DataFrame
+    small: bool
+    width: int
+
+    @classmethod
+    def of(cls, vectors: DataFrame) -> VectorTable:
+        rows = written_once(vectors.select("token", "vector").filter("token IS NOT NULL AND vector IS NOT NULL"), "vector-table")
+        first = rows.select(F.size("vector").alias("n")).first()
+        return cls(rows, is_small(rows), first["n"] if first else 0)
+
+
+def _looked_up(tokens: DataFrame, vectors: VectorTable) -> DataFrame:
+    """(key, token, vector) of the tokens that the table has.
+
+    Unless the whole table is small, the vectors of at most ``HOT_TOKENS``
+    frequent tokens are broadcast and only the other tokens are shuffled.
+    """
+    if vectors.small:
+        return tokens.join(F.broadcast(vectors.rows), "token")
+    held = written_once(tokens, "first-tokens")
+    sizes = written_once(held.groupBy("token").agg(F.count(F.lit(1)).alias("n")), "token-sizes")
+    total = sizes.agg(F.sum("n").alias("n")).first()["n"] or 0
+    hot = sizes.filter(F.col("n") * HOT_TOKENS > total).select("token")
+    near = written_once(vectors.rows.join(F.broadcast(hot), "token", "left_semi"), "hot-vectors")
+    far = held.join(F.broadcast(hot), "token", "left_anti").join(vectors.rows, "token")
+    return held.join(F.broadcast(near), "token").unionByName(far)
+
+
+def pooled_embedding(df: DataFrame, vectors: DataFrame | VectorTable, key: str = "row_id", text: str = "code",
                      max_tokens: int | None = C.MAX_TOKENS, output: str = "embedding") -> DataFrame:
     """(key, mean vector) of each text over its first tokens, by a table
     (token, vector). Tokens that the table lacks are masked; a text without
-    known tokens has no row.
-
-    A token is looked up once for each text that holds it. Frequent tokens are
-    hot keys of that join, so the lookup measures, broadcasts or salts.
+    known tokens has no row. A ``VectorTable`` serves many calls: it is
+    written and measured once.
     """
-    counts = token_counts(df, key, text, max_tokens)
-    known = lookup_join(counts, vectors.select("token", "vector"), "token", key).filter("vector IS NOT NULL")
-    weighed = array_to_vector(F.transform("vector", lambda x: x.cast("double") * F.col("n")))
-    summed = known.select(key, "n", weighed.alias("__v")).groupBy(key).agg(Summarizer.sum(F.col("__v")).alias("__s"), F.sum("n").alias("__n"))
+    table = vectors if isinstance(vectors, VectorTable) else VectorTable.of(vectors)
+    known = _looked_up(first_tokens(df, key, text, max_tokens), table)
+    if 0 < table.width <= PLAIN_WIDTH:  # plain sums stay in the memory of a hash aggregation
+        sums = [F.sum(F.get("vector", F.lit(i)).cast("double")).alias(f"__s{i}") for i in range(table.width)]
+        summed = known.groupBy(key).agg(F.count(F.lit(1)).alias("__n"), *sums)
+        return summed.select(key, F.array(*[F.col(f"__s{i}") / F.col("__n") for i in range(table.width)]).alias(output))
+    whole = array_to_vector(F.transform("vector", lambda x: x.cast("double")))
+    summed = known.select(key, whole.alias("__v")).groupBy(key).agg(Summarizer.sum(F.col("__v")).alias("__s"), F.count(F.lit(1)).alias("__n"))
     return summed.select(key, F.transform(vector_to_array("__s"), lambda x: x / F.col("__n")).alias(output))
 
 

@@ -114,8 +114,11 @@ def _digit(i: int):
 
 
 def _fixed_vectors(rows):
-    tokens = F.regexp_extract_all(F.coalesce(F.col("code"), F.lit("")), F.lit(C.TOKEN_PATTERN), F.lit(0))
-    return rows.select(F.explode(tokens).alias("token")).distinct().withColumn("vector", F.array(*[_digit(i) for i in range(4)]))
+    """Vectors of all tokens. No token holds a space, so the tokens of a text
+    are those of its parts between spaces, of which equal ones are read once."""
+    parts = rows.select(F.explode(F.split(F.coalesce(F.col("code"), F.lit("")), " ")).alias("part")).distinct()
+    tokens = F.regexp_extract_all("part", F.lit(C.TOKEN_PATTERN), F.lit(0))
+    return parts.select(F.explode(tokens).alias("token")).distinct().withColumn("vector", F.array(*[_digit(i) for i in range(4)]))
 
 
 _POOLED = """t AS (SELECT doc_id AS row_id, unnest((regexp_extract_all(text, '{}'))[1:256]) AS token FROM documents),
@@ -146,7 +149,7 @@ def embed_resume(spark, sf):
     """The same vectors, written range by range: a run that stops after three
     ranges, a second one that ends them, then a run that finds nothing to do."""
     rows = _documents(spark, sf)
-    vectors_of = written_once(_fixed_vectors(rows), "vectors")
+    vectors_of = embed.VectorTable.of(_fixed_vectors(rows))
     store = VectorStore(spark, scratch_path(spark, "vectors"))
 
     def encode(part):
