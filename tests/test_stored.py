@@ -65,6 +65,21 @@ def test_a_store_goes_on_where_it_stopped(spark, tmp_path):
         again._publish("ranges.json", {})
 
 
+def test_a_store_encodes_ranges_together(spark, tmp_path):
+    rows = spark.createDataFrame([(i, i * 10) for i in range(100)] + [(None, 5)], "row_id long, x long").repartition(4)
+    store, seen = VectorStore(spark, str(tmp_path / "w")), []
+
+    def counted(part):
+        seen.append(part.count())
+        return encode(part).filter("row_id < 20 OR row_id >= 40")  # a range may have no vectors
+
+    assert store.write(rows, counted, parts=5, most=2, together=4) == 3 and len(seen) == 1
+    assert store.write(rows, counted, together=2) == 0 and len(seen) == 3 and sum(seen) == 100
+    assert sorted(store.finished()) == [f"range-{i:05d}" for i in range(5)] and store.vacuum() == 0
+    assert sorted((r.row_id, r.vector) for r in store.read().collect()) == [(i, [i * 20.0]) for i in range(100) if not 20 <= i < 40]
+    assert store.read().columns == ["row_id", "vector"] and store.catch_up(rows.filter("row_id >= 40"), encode) == 0
+
+
 def test_a_store_by_text_keys(spark, tmp_path):
     rows = spark.range(50).select(F.md5(F.col("id").cast("string")).alias("row_id"), F.col("id").alias("x"))
     store = VectorStore(spark, str(tmp_path / "t"))

@@ -155,8 +155,8 @@ def embed_resume(spark, sf):
     def encode(part):
         return embed.pooled_embedding(part, vectors_of)
 
-    left = store.write(rows, encode, parts=8, most=3)
+    left = store.write(rows, encode, parts=8, most=3, together=5)
     again = VectorStore(spark, store.path)
-    if again.write(rows, encode, parts=8) or not left or again.write(rows, encode) or again.catch_up(rows.filter("code IS NULL"), encode):
+    if again.write(rows, encode, parts=8, together=5) or not left or again.write(rows, encode) or again.catch_up(rows.filter("code IS NULL"), encode):
         raise RuntimeError("ranges are left")
     return again.read().select("row_id", *[F.round(F.get("embedding", F.lit(i)), 6).alias(f"v{i}") for i in range(4)])
