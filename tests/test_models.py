@@ -324,3 +324,14 @@ def test_no_feature_is_chosen(spark, tmp_path):
     back = spark.read.parquet(str(tmp_path / "cut"))
     names = features.name_table(back, features.names_of(back))
     assert back.filter(F.size("features") == 0).count() == 20 and names.count() == 0 and dict(names.dtypes)["name"] == "string"
+
+
+def test_a_forest_keeps_the_nodes_of_its_rows(spark):
+    """Rows know their nodes, and the trees are those of walking down every time."""
+    from weakspot.models.estimators import forest
+
+    _, _, df = learnable(spark, 200, 4)
+    how = forest(4, None)
+    assert how.getCacheNodeIds()
+    kept, walked = how.fit(df), how.copy({how.cacheNodeIds: False}).fit(df)
+    assert [t.toDebugString.split("\n")[1:] for t in kept.trees] == [t.toDebugString.split("\n")[1:] for t in walked.trees]
